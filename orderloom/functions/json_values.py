@@ -98,14 +98,39 @@ def connection_items(lines: Column) -> Column:
     )
 
 
-def order_lines(lines: Column) -> Column:
-    """Lines of an order: a plain list as it is, or an unwrapped connection."""
-    return F.coalesce(
-        as_list(lines),
-        F.when(is_object(lines), F.transform(connection_items(lines), unwrap_node)),
+def has_bad_item(lines: Column) -> Column:
+    """Whether some item of a connection is not an object."""
+    return F.exists(connection_items(lines), lambda item: ~is_object(item))
+
+
+def connection_lines(lines: Column, line_type: str) -> Column:
+    """Unwrapped items of a connection as ``line_type``; null when it is no connection.
+
+    Items that are no objects become null elements. ``line_type`` has a VARIANT field
+    ``node``. The usual shapes, every edge with a node object and nodes without one of
+    their own, take one cast; all others are unwrapped item by item.
+    """
+    edges = F.try_variant_get(lines, "$.edges", f"array<struct<node {line_type}>>")
+    nodes = F.try_variant_get(lines, "$.nodes", f"array<{line_type}>")
+    plain_edges = (F.size(edges) > 0) & F.forall(edges, lambda x: x["node"].isNotNull())
+    plain_nodes = (
+        (F.size(nodes) > 0)
+        & is_empty(inside(lines, "$.edges"))
+        & F.forall(nodes, lambda x: x.isNotNull() & x["node"].isNull())
+    )
+    return F.when(
+        is_object(lines),
+        F.when(plain_edges, edges["node"])
+        .when(plain_nodes, nodes)
+        .otherwise(
+            F.transform(
+                connection_items(lines),
+                lambda item: F.try_variant_get(unwrap_node(item), "$", line_type),
+            )
+        ),
     )
 
 
-def preferred_sku(line: Column) -> Column:
+def preferred_sku(product_sku: Column, variant_sku: Column) -> Column:
     """``productSku`` when that key exists, even with a null, else ``variantSku``."""
-    return F.coalesce(inside(line, "$.productSku"), inside(line, "$.variantSku"))
+    return F.coalesce(product_sku, variant_sku)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orderloom.functions.binding import let
 from orderloom.functions.text import trim_blanks
 from orderloom.schemas import CURRENCIES, MONEY
 
@@ -34,29 +35,41 @@ def round_amount(number: Column) -> Column:
     )
 
 
+def _number_text(text: Column) -> Column:
+    """Number text without the blanks around it and without ``_``."""
+    return F.replace(trim_blanks(text), F.lit("_"), F.lit(""))
+
+
 def amount_text(text: Column) -> Column:
-    """An amount that arrived as JSON text; blanks around it and ``_`` are ignored."""
+    """An amount that arrived as JSON text."""
     return F.when(text.rlike(_PLAIN), text.try_cast(MONEY)).otherwise(
-        round_amount(F.replace(trim_blanks(text), F.lit("_"), F.lit("")))
+        let(_number_text(text), round_amount)
     )
 
 
-def amount(value: Column) -> Column:
-    """Amount of a VARIANT that may hold text or a number; null when it is bad.
-
-    A JSON number with a fraction or exponent counts as its nearest double.
-    """
+def _amount_of_any_kind(value: Column) -> Column:
     text = F.try_variant_get(value, "$", "string")
     kind = F.schema_of_variant(value)
     number = (
-        F.when(kind == "STRING", F.replace(trim_blanks(text), F.lit("_"), F.lit("")))
+        F.when(kind == "STRING", _number_text(text))
         .when(kind == "BIGINT", text)
         .when(
             kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"),
             F.try_variant_get(value, "$", "double").cast("string"),
         )
     )
-    return F.when(text.rlike(_PLAIN), text.try_cast(MONEY)).otherwise(round_amount(number))
+    return let(number, round_amount)
+
+
+def amount(value: Column) -> Column:
+    """Amount of a VARIANT that may hold text or a number; null when it is bad.
+
+    A JSON number with a fraction or exponent counts as its nearest double.
+    """
+    text = F.try_variant_get(value, "$", "string")
+    return F.when(text.rlike(_PLAIN), text.try_cast(MONEY)).otherwise(
+        let(value, _amount_of_any_kind)
+    )
 
 
 def is_currency_shape(text: Column) -> Column:

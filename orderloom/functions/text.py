@@ -26,9 +26,9 @@ def trim_blanks_right(text: Column) -> Column:
     return F.rtrim(text, F.lit(BLANKS))
 
 
-def nonblank(text: Column) -> Column:
-    """The trimmed text, or null when nothing but blanks is left."""
-    return F.nullif(trim_blanks(text), F.lit(""))
+def is_blank(text: Column) -> Column:
+    """Whether trimmed text is missing or empty."""
+    return F.coalesce(text, F.lit("")) == ""
 
 
 def is_identifier(text: Column) -> Column:

@@ -7,6 +7,8 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orderloom.functions.binding import let
+
 _PLAIN_UTC = (
     r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}"
     r"(\.[0-9]{1,6})?(Z|\+00:00)\z"
@@ -15,99 +17,109 @@ _PLAIN_UTC = (
 _GENERAL = (
     r"^(?:([0-9]{4})-([0-9]{2})-([0-9]{2})|([0-9]{4})([0-9]{2})([0-9]{2})"
     r"|([0-9]{4})-?W([0-9]{2})(?:-?([1-7]))?)"
-    r"(?:(?s:.)([0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?|[0-9]{2}(?:[0-9]{2}(?:[.,][0-9]+)?)?)?)"
+    r"(?:(?s:.)([0-9]{2}(?::[0-9]{2}(?::[0-9]{2}(?:[.,][0-9]+)?)?"
+    r"|[0-9]{2}(?:[0-9]{2}(?:[.,][0-9]+)?)?)?)"
     r"([+-][0-9]{2}(?::?[0-9]{2}(?::?[0-9]{2}(?:[.,][0-9]+)?)?)?)?)?\z"
 )
-_CLOCK = r"^([0-9]{2}):?([0-9]{2})?:?([0-9]{2})?(?:[.,]([0-9]+))?"
-_ZONE = r"^([+-])([0-9]{2}):?([0-9]{2})?:?([0-9]{2})?(?:[.,]([0-9]+))?"
+# Groups: hours, minutes, seconds, fraction; in a clock or after the sign of a zone.
+_CLOCK = r"^[+-]?([0-9]{2}):?([0-9]{2})?:?([0-9]{2})?(?:[.,]([0-9]+))?\z"
+
+
+def _calendar_date(parts: Column) -> Column:
+    return F.concat_ws("-", parts[0], parts[1], parts[2]).try_cast("date")
 
 
-def _part(text: Column, pattern: str, group: int, default: str) -> Column:
-    """One regex group as text, ``default`` when it took no part in the match."""
-    return F.coalesce(F.nullif(F.regexp_extract(text, pattern, group), F.lit("")), F.lit(default))
+def _week_date(parts: Column) -> Column:
+    january_4 = F.concat(parts[3], F.lit("-01-04")).try_cast("date")
+    week = parts[4].cast("int")
+    day = F.when(parts[5] == "", 1).otherwise(parts[5].try_cast("int"))
+    date = F.date_add(F.date_sub(january_4, F.weekday(january_4)), (week - 1) * 7 + day - 1)
+    return F.when(F.weekofyear(date) == week, date)
 
 
-def _micros(text: Column, pattern: str, group: int) -> Column:
-    """Fraction digits cut (not rounded) to six."""
-    return F.rpad(F.substring(_part(text, pattern, group, "0"), 1, 6), 6, "0")
+def _date(parts: Column) -> Column:
+    return F.when(parts[3] != "", _week_date(parts)).otherwise(_calendar_date(parts))
 
 
-def _general_date(text: Column) -> Column:
-    def group(index):
-        return F.nullif(F.regexp_extract(text, _GENERAL, index), F.lit(""))
+def _clock_parts(text: Column) -> Column:
+    """Hours, minutes, seconds and six fraction digits; missing ones are zero."""
+    parts = F.split(F.regexp_replace(text, _CLOCK, "$1|$2|$3|$4"), r"\|")
+    return let(
+        parts,
+        lambda p: F.array(
+            *[F.when(p[i] == "", "00").otherwise(p[i]) for i in range(3)],
+            F.rpad(F.substring(p[3], 1, 6), 6, "0"),
+        ),
+    )
+
 
-    calendar = F.concat_ws(
-        "-", *[F.coalesce(group(index), group(index + 3)) for index in (1, 2, 3)]
-    ).try_cast("date")
-    january_4 = F.concat(group(7), F.lit("-01-04")).try_cast("date")
-    week = group(8).cast("int")
-    day = F.coalesce(group(9), F.lit("1")).cast("int")
-    from_week = F.date_add(
-        F.date_sub(january_4, F.weekday(january_4)), (week - 1) * 7 + day - 1
+def _local(parts: Column) -> Column:
+    """Wall-clock time; null when a part is out of range."""
+    date = let(parts, _date)
+    clock = _clock_parts(F.when(parts[6] == "", "00").otherwise(parts[6]))
+    moment = let(
+        clock,
+        lambda c: F.concat(F.concat_ws(":", c[0], c[1], c[2]), F.lit("."), c[3]),
     )
     return F.when(
-        group(7).isNotNull(), F.when(F.weekofyear(from_week) == week, from_week)
-    ).otherwise(calendar)
-
-
-def _general_local(text: Column) -> Column:
-    """Wall-clock time without its zone; null when any part is out of range."""
-    date = _general_date(text)
-    clock = _part(text, _GENERAL, 10, "00")
-    moment = F.concat(
-        date.cast("string"),
-        F.lit(" "),
-        _part(clock, _CLOCK, 1, "00"),
-        F.lit(":"),
-        _part(clock, _CLOCK, 2, "00"),
-        F.lit(":"),
-        _part(clock, _CLOCK, 3, "00"),
-        F.lit("."),
-        _micros(clock, _CLOCK, 4),
-    ).try_cast("timestamp_ntz")
-    return F.when(text.rlike(_GENERAL) & (F.year(date) >= 1), moment)
-
-
-def _general_offset(text: Column) -> Column:
-    """Zone offset in seconds, null without a zone."""
-    zone = F.nullif(F.regexp_extract(text, _GENERAL, 11), F.lit(""))
-    seconds = (
-        _part(zone, _ZONE, 2, "0").cast("int") * 3600
-        + _part(zone, _ZONE, 3, "0").cast("int") * 60
-        + _part(zone, _ZONE, 4, "0").cast("int")
-    ).cast("decimal(12,6)") + (
-        _micros(zone, _ZONE, 5).cast("decimal(12,6)") / F.lit(1000000)
-    ).cast("decimal(12,6)")
-    signed = F.when(F.substring(zone, 1, 1) == "-", -seconds).otherwise(seconds)
-    return F.when(zone.isNotNull(), signed.cast("decimal(12,6)"))
-
-
-def _with_numeric_zone(text: Column) -> Column:
-    return F.replace(text, F.lit("Z"), F.lit("+00:00"))
+        F.year(date) >= 1,
+        F.concat(date.cast("string"), F.lit(" "), moment).try_cast("timestamp_ntz"),
+    )
+
+
+def _offset_seconds(parts: Column) -> Column:
+    """Zone offset, null without a zone."""
+
+    def total(c):
+        whole = c[0].cast("int") * 3600 + c[1].cast("int") * 60 + c[2].cast("int")
+        return F.concat(whole.cast("string"), F.lit("."), c[3]).cast("decimal(12,6)")
+
+    seconds = let(_clock_parts(parts[7]), total)
+    sign = F.when(F.substring(parts[7], 1, 1) == "-", -1).otherwise(1)
+    return F.when(parts[7] != "", (seconds * sign).cast("decimal(12,6)"))
+
+
+def _dissect(text: Column) -> Column:
+    """Local time and offset of any ISO form the contract takes; both null for others."""
+    numeric_zone = F.replace(text, F.lit("Z"), F.lit("+00:00"))
+    joined = F.regexp_replace(numeric_zone, _GENERAL, "$1$4|$2$5|$3$6|$7|$8|$9|$10|$11")
+    parts = F.when(numeric_zone.rlike(_GENERAL), F.split(joined, r"\|"))
+    return let(
+        parts,
+        lambda p: F.struct(_local(p).alias("local"), _offset_seconds(p).alias("offset")),
+    )
+
+
+def _general_utc(text: Column) -> Column:
+    return let(
+        _dissect(text),
+        lambda t: F.when(
+            F.abs(t["offset"]) < 86400,
+            t["local"] - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), t["offset"]),
+        ),
+    )
 
 
 def utc_timestamp(text: Column) -> Column:
     """UTC time (``timestamp_ntz``) of zone-aware ISO text, null for anything else."""
-    numeric = _with_numeric_zone(text)
-    offset = _general_offset(numeric)
-    general = F.when(
-        F.abs(offset) < 86400,
-        _general_local(numeric)
-        - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), offset),
+    # A cast to a time without zone ignores the zone, which is UTC here.
+    return F.when(text.rlike(_PLAIN_UTC), text.try_cast("timestamp_ntz")).otherwise(
+        _general_utc(text)
     )
-    return F.when(text.rlike(_PLAIN_UTC), text.try_cast("timestamp_ntz")).otherwise(general)
 
 
 def lacks_zone(text: Column) -> Column:
     """Whether the text is a valid ISO time that names no zone."""
-    numeric = _with_numeric_zone(text)
-    return _general_local(numeric).isNotNull() & _general_offset(numeric).isNull()
+    return F.coalesce(
+        let(_dissect(text), lambda t: t["local"].isNotNull() & t["offset"].isNull()), F.lit(False)
+    )
 
 
 def is_utc(text: Column) -> Column:
     """Whether zone-aware ISO text names offset zero."""
-    numeric = _with_numeric_zone(text)
-    return utc_timestamp(text).isNotNull() & (_general_offset(numeric) == 0)
+    return F.coalesce(
+        let(_dissect(text), lambda t: t["local"].isNotNull() & (t["offset"] == 0)), F.lit(False)
+    )
 
 
 def canonical_text(moment: Column) -> Column:

@@ -1,9 +1,9 @@
 """The order contract: ordered rules, exact first error, canonical projection.
 
 Input is a frame of raw JSON lines. Every rule is a Column expression, so the whole
-check is narrow: no shuffle, no explode, no Python in the tasks. It runs in three
-projections (parse, read typed leaves, judge); each later one reads the columns of
-the one before, so no JSON path is evaluated twice.
+check is narrow: no shuffle, no Python in the tasks. A document is parsed once and cast
+once to a struct whose leaves keep their JSON type; rules then look at plain columns,
+and only rows that break one go back to the document for the exact message.
 """
 
 from __future__ import annotations
@@ -27,55 +27,76 @@ _ORDER_COLUMNS = (
     "lines",
 )
 
+# A cast to these types turns a value of the wrong kind into null, level by level;
+# VARIANT leaves keep the JSON type of values whose type matters.
+_RAW_MONEY = "struct<gross struct<amount variant, currency string>>"
+_RAW_LINE = (
+    "struct<node variant, id variant, productName variant, productSku variant, variantSku variant, "
+    f"quantity variant, unitPrice {_RAW_MONEY}, totalPrice {_RAW_MONEY}>"
+)
+_RAW_ORDER = (
+    "struct<id variant, number variant, created variant, updatedAt variant, status variant, "
+    f"channel struct<slug variant, currencyCode variant>, total {_RAW_MONEY}, "
+    f"lines array<{_RAW_LINE}>>"
+)
+
+
+def _step(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    Plain projections would be merged, and filters on their results copied below them,
+    which repeats the work per reference; a one-element generator keeps them apart.
+    """
+    row = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", row.alias("_row")).select(*df.columns, F.inline(F.array("_row")))
+
 
 def _message(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
-def _line_leaves(line: Column) -> Column:
-    """Typed values of one line; a null marks a value that broke its type."""
-    sku = json_values.preferred_sku(line)
-    unit, total = "$.unitPrice.gross", "$.totalPrice.gross"
+def _trimmed(value: Column) -> Column:
+    return text.trim_blanks(json_values.as_text(value))
+
+
+def _line_values(line: Column) -> Column:
+    """Typed values of one raw line; a null marks a value that broke its type."""
+    sku = json_values.preferred_sku(line["productSku"], line["variantSku"])
     return F.struct(
-        line.alias("item"),
-        text.nonblank(json_values.as_text(json_values.inside(line, "$.id"))).alias("line_id"),
-        json_values.positive_quantity(json_values.inside(line, "$.quantity")).alias("quantity"),
-        text.nonblank(json_values.as_text(json_values.inside(line, "$.productName"))).alias(
-            "product_name"
-        ),
-        text.nonblank(json_values.as_text(sku)).alias("sku"),
+        F.struct(
+            _trimmed(line["id"]).alias("line_id"),
+            _trimmed(line["productName"]).alias("product_name"),
+            _trimmed(sku).alias("sku"),
+            json_values.positive_quantity(line["quantity"]).alias("quantity"),
+            money.amount(line["unitPrice"]["gross"]["amount"]).alias("unit_amount"),
+            money.amount(line["totalPrice"]["gross"]["amount"]).alias("line_amount"),
+        ).alias("line"),
         F.coalesce(F.schema_of_variant(sku) != "VOID", F.lit(False)).alias("has_sku"),
-        F.try_variant_get(line, f"{unit}.currency", "string").alias("unit_currency"),
-        money.amount(json_values.inside(line, f"{unit}.amount")).alias("unit_amount"),
-        F.try_variant_get(line, f"{total}.currency", "string").alias("line_currency"),
-        money.amount(json_values.inside(line, f"{total}.amount")).alias("line_amount"),
+        line.alias("source"),
     )
 
 
-def _money_error(owner: Column, owner_name: str, currency, order_currency, value, prefix) -> Column:
-    """First broken money rule; ``owner`` is the object that holds ``gross``."""
-    gross = json_values.inside(owner, "$.gross")
-    return (
-        F.when(
-            ~currency.eqNullSafe(order_currency),
-            F.when(~json_values.is_object(owner), F.lit(f"{owner_name} must be an object"))
-            .when(~json_values.is_object(gross), _message(prefix, " must be a money object"))
-            .otherwise(_message(prefix, " currency must match order currency")),
-        ).when(value.isNull(), _message(prefix, ".amount must be numeric"))
-    )
+def _money_error(owner: Column, owner_name: str, currency: Column, value: Column, prefix) -> Column:
+    """First broken money rule; ``owner`` is the raw object that holds ``gross``."""
+    gross = owner["gross"]
+    return F.when(
+        ~gross["currency"].eqNullSafe(currency),
+        F.when(owner.isNull(), F.lit(f"{owner_name} must be an object"))
+        .when(gross.isNull(), _message(prefix, " must be a money object"))
+        .otherwise(_message(prefix, " currency must match order currency")),
+    ).when(value.isNull(), _message(prefix, ".amount must be numeric"))
 
 
-def _line_error(line: Column, index: Column, ids: Column, repeated: Column, currency) -> Column:
+def _line_error(values: Column, index: Column, ids: Column, repeated: Column, currency) -> Column:
     """First broken rule of one line."""
     at = _message("lines[", index.cast("string"), "]")
-    item = line["item"]
+    line, source = values["line"], values["source"]
     return F.coalesce(
         F.when(
-            line["line_id"].isNull(),
-            F.when(
-                ~json_values.is_object(item),
-                _message(at, " must be an object"),
-            ).otherwise(_message(at, ".id must be a nonempty string")),
+            text.is_blank(line["line_id"]),
+            F.when(source.isNull(), _message(at, " must be an object")).otherwise(
+                _message(at, ".id must be a nonempty string")
+            ),
         ),
         F.when(
             repeated & (F.array_position(ids, line["line_id"]) < index + 1),
@@ -85,21 +106,22 @@ def _line_error(line: Column, index: Column, ids: Column, repeated: Column, curr
             line["quantity"].isNull(), _message(at, ".quantity must be a positive integer")
         ),
         F.when(
-            line["product_name"].isNull(), _message(at, ".productName must be a nonempty string")
+            text.is_blank(line["product_name"]),
+            _message(at, ".productName must be a nonempty string"),
+        ),
+        F.when(
+            values["has_sku"] & text.is_blank(line["sku"]), F.lit("sku must be a nonempty string")
         ),
-        F.when(line["has_sku"] & line["sku"].isNull(), F.lit("sku must be a nonempty string")),
         _money_error(
-            json_values.inside(item, "$.unitPrice"),
+            source["unitPrice"],
             "unitPrice",
-            line["unit_currency"],
             currency,
             line["unit_amount"],
             _message(at, ".unitPrice.gross"),
         ),
         _money_error(
-            json_values.inside(item, "$.totalPrice"),
+            source["totalPrice"],
             "totalPrice",
-            line["line_currency"],
             currency,
             line["line_amount"],
             _message(at, ".totalPrice.gross"),
@@ -115,100 +137,97 @@ def repeated_positions(ids: Column) -> Column:
     )
 
 
-def _parse(lines: DataFrame, raw: str) -> DataFrame:
-    return lines.withColumn("_document", json_values.parse_line(F.col(raw)))
-
-
-def _read_leaves(parsed: DataFrame, raw: str) -> DataFrame:
+def _read(lines: DataFrame, raw: str) -> DataFrame:
+    """Parse each line and cast it to typed leaves."""
     document = F.col("_document")
-
-    def field(path):
-        return json_values.field(document, path)
-
-    def text_field(path):
-        return text.nonblank(json_values.as_text(field(path)))
-
-    lines = field(".lines")
-    code = json_values.as_text(field(".channel.currencyCode"))
-    created, updated = (json_values.as_text(field(p)) for p in (".created", ".updatedAt"))
-    return parsed.select(
-        "*",
-        (
-            json_values.is_whole(document, F.col(raw)) & F.col(raw).rlike(r"^\s*\{")
-        ).alias("_whole"),
-        money.currency(code).alias("currency"),
-        text_field(".id").alias("order_id"),
-        text_field(".number").alias("order_number"),
-        text_field(".status").alias("status"),
-        text_field(".channel.slug").alias("channel"),
-        timestamps.utc_timestamp(created).alias("created_at"),
-        timestamps.utc_timestamp(updated).alias("updated_at"),
-        F.try_variant_get(document, "$[0].total.gross.currency", "string").alias("_total_currency"),
-        money.amount(field(".total.gross.amount")).alias("total_amount"),
-        F.transform(json_values.order_lines(lines), _line_leaves).alias("_lines"),
+    parsed = _step(lines, _document=json_values.parse_line(F.col(raw)))
+    whole = json_values.is_whole(document, F.col(raw))
+    typed = _step(
+        parsed,
+        _is_json=whole,
+        _order=F.when(whole, F.try_variant_get(document, "$[0]", _RAW_ORDER)),
+    )
+    return typed
+
+
+def _values(typed: DataFrame) -> DataFrame:
+    """Canonical values; null where a value is missing or has the wrong type."""
+    order, document = F.col("_order"), F.col("_document")
+    lines = json_values.field(document, ".lines")
+    with_values = _step(
+        typed,
+        order_id=_trimmed(order["id"]),
+        order_number=_trimmed(order["number"]),
+        created_at=timestamps.utc_timestamp(json_values.as_text(order["created"])),
+        updated_at=timestamps.utc_timestamp(json_values.as_text(order["updatedAt"])),
+        status=_trimmed(order["status"]),
+        channel=_trimmed(order["channel"]["slug"]),
+        currency=money.currency(json_values.as_text(order["channel"]["currencyCode"])),
+        total_amount=money.amount(order["total"]["gross"]["amount"]),
+        _source_lines=F.coalesce(
+            order["lines"], json_values.connection_lines(lines, _RAW_LINE)
+        ),
     )
+    return _step(with_values, _lines=F.transform("_source_lines", _line_values))
 
 
-def _judge_lines(leaves: DataFrame) -> DataFrame:
-    ids = F.transform("_lines", lambda x: x["line_id"])
+def _line_checks(values: DataFrame) -> DataFrame:
+    """First error among the lines, if any."""
+    lines = json_values.field(F.col("_document"), ".lines")
+    ids = F.col("_lines")["line"]["line_id"]
     known = F.filter(ids, lambda x: x.isNotNull())
-    with_ids = leaves.select(
-        "*",
-        ids.alias("_ids"),
-        # Hash-based, so long orders stay linear; positions are looked up only on a hit.
-        (F.size(F.array_distinct(known)) < F.size(known)).alias("_repeated"),
-    )
+    # Hash-based, so long orders stay linear; positions are looked up only on a hit.
+    repeated = F.size(F.array_distinct(known)) < F.size(known)
+    with_ids = _step(values, _ids=ids, _repeated=repeated)
     errors = F.transform(
         "_lines",
         lambda x, i: _line_error(x, i, F.col("_ids"), F.col("_repeated"), F.col("currency")),
     )
-    return with_ids.withColumn(
-        "_line_error", F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0))
+    lost_item = F.col("_order")["lines"].isNull() & F.exists(
+        "_source_lines", lambda x: x.isNull()
+    )
+    return _step(
+        with_ids,
+        _line_error=F.coalesce(
+            F.when(
+                lost_item & json_values.has_bad_item(lines), F.lit("line must be an object")
+            ),
+            F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0)),
+        ),
     )
 
 
-def _first_error(raw: str) -> Column:
-    document = F.col("_document")
-
-    def field(path):
-        return json_values.field(document, path)
-
-    channel, lines, total = field(".channel"), field(".lines"), field(".total")
-    code, status = field(".channel.currencyCode"), F.col("status")
+def _first_error() -> Column:
+    document, order = F.col("_document"), F.col("_order")
+    lines = json_values.field(document, ".lines")
     connection = json_values.connection_items(lines)
 
-    def timestamp_error(name, moment):
-        value = json_values.as_text(field(f".{name}"))
-        return F.when(
-            moment.isNull(),
-            F.when(timestamps.lacks_zone(value), F.lit(f"{name} must include a timezone")).otherwise(
-                F.lit(f"{name} must be an ISO-8601 timestamp")
-            ),
-        )
-
-    def required(column, name):
-        return F.when(F.col(column).isNull(), F.lit(f"{name} must be a nonempty string"))
-
-    return F.coalesce(
-        F.when(
-            ~F.col("_whole"),
-            F.when(
-                json_values.is_whole(document, F.col(raw)), F.lit("record must be a JSON object")
-            ).otherwise(F.lit("record must be valid JSON")),
-        ),
-        F.when(
-            F.col("currency").isNull(),
+    def channel_error():
+        channel, code = json_values.field(document, ".channel"), order["channel"]["currencyCode"]
+        letters = F.coalesce(money.is_currency_shape(json_values.as_text(code)), F.lit(False))
+        return (
             F.when(
                 ~json_values.is_object(channel) & ~json_values.is_empty(channel),
                 F.lit("channel must be an object"),
             )
             .when(~json_values.is_present(code), F.lit("channel.currencyCode is required"))
-            .when(
-                ~F.coalesce(money.is_currency_shape(json_values.as_text(code)), F.lit(False)),
-                F.lit("channel.currencyCode must be a three-letter currency"),
-            )
-            .otherwise(F.lit("currency must be USD, EUR or PLN")),
-        ),
+            .when(~letters, F.lit("channel.currencyCode must be a three-letter currency"))
+            .otherwise(F.lit("currency must be USD, EUR or PLN"))
+        )
+
+    def timestamp_error(name):
+        no_zone = timestamps.lacks_zone(json_values.as_text(order[name]))
+        return F.when(no_zone, F.lit(f"{name} must include a timezone")).otherwise(
+            F.lit(f"{name} must be an ISO-8601 timestamp")
+        )
+
+    def required(column, name):
+        return F.when(text.is_blank(F.col(column)), F.lit(f"{name} must be a nonempty string"))
+
+    return F.coalesce(
+        F.when(~F.col("_is_json"), F.lit("record must be valid JSON")),
+        F.when(order.isNull(), F.lit("record must be a JSON object")),
+        F.when(F.col("currency").isNull(), channel_error()),
         F.when(
             F.coalesce(F.size("_lines") < 1, F.lit(True)),
             F.when(
@@ -216,55 +235,29 @@ def _first_error(raw: str) -> Column:
                 F.lit("line connection must contain a list"),
             ).otherwise(F.lit("lines must contain at least one line")),
         ),
-        F.when(
-            json_values.is_object(lines)
-            & F.exists(connection, lambda x: ~json_values.is_object(x)),
-            F.lit("line must be an object"),
-        ),
         F.col("_line_error"),
-        timestamp_error("created", F.col("created_at")),
-        timestamp_error("updatedAt", F.col("updated_at")),
+        F.when(F.col("created_at").isNull(), timestamp_error("created")),
+        F.when(F.col("updated_at").isNull(), timestamp_error("updatedAt")),
         F.when(
             F.col("updated_at") < F.col("created_at"), F.lit("updatedAt must not precede created")
         ),
         required("status", "status"),
-        F.when(~status.isin(*STATUSES), F.lit("unsupported order status")),
+        F.when(~F.col("status").isin(*STATUSES), F.lit("unsupported order status")),
         required("order_id", "id"),
         required("order_number", "number"),
         required("channel", "channel.slug"),
         _money_error(
-            total,
-            "total",
-            F.col("_total_currency"),
-            F.col("currency"),
-            F.col("total_amount"),
-            F.lit("total.gross"),
+            order["total"], "total", F.col("currency"), F.col("total_amount"), F.lit("total.gross")
         ),
     )
 
 
-def sorted_lines(lines: Column) -> Column:
-    """Canonical lines of one order, sorted by line_id."""
-    return F.array_sort(
-        F.transform(
-            lines,
-            lambda x: F.struct(
-                x["line_id"].alias("line_id"),
-                x["product_name"].alias("product_name"),
-                x["sku"].alias("sku"),
-                x["quantity"].alias("quantity"),
-                x["unit_amount"].alias("unit_amount"),
-                x["line_amount"].alias("line_amount"),
-            ),
-        ).cast(f"array<{LINE}>")
-    )
-
-
-def payload_json() -> Column:
+def payload_json(lines: Column) -> Column:
     """Canonical JSON text of an order: fields by name, times as UTC text."""
-    fields = {name: F.col(name) for name in _ORDER_COLUMNS}
+    fields = {name: F.col(name) for name in _ORDER_COLUMNS if name != "lines"}
     fields["created_at"] = timestamps.canonical_text(F.col("created_at"))
     fields["updated_at"] = timestamps.canonical_text(F.col("updated_at"))
+    fields["lines"] = lines
     return hashing.canonical_json(*[fields[name].alias(name) for name in sorted(fields)])
 
 
@@ -275,15 +268,18 @@ def judge(lines: DataFrame, raw: str = "raw") -> DataFrame:
     columns, all null on an invalid row. The raw text and other columns stay.
     """
     prepare(lines.sparkSession)
-    judged = _judge_lines(_read_leaves(_parse(lines, raw), raw)).withColumn(
-        "error", _first_error(raw)
-    )
+    judged = _step(_line_checks(_values(_read(lines, raw))), error=_first_error())
     valid = F.col("error").isNull()
-    canonical = judged.select(
+    with_lines = _step(
+        judged,
+        lines=F.when(valid, F.sort_array(F.col("_lines")["line"]).cast(f"array<{LINE}>")),
+    )
+    final = _step(with_lines, payload_json=F.when(valid, payload_json(F.col("lines"))))
+    return final.select(
         *[F.col(name) for name in lines.columns],
-        F.col("error"),
-        *[F.when(valid, F.col(name)).alias(name) for name in _ORDER_COLUMNS if name != "lines"],
-        F.when(valid, sorted_lines(F.col("_lines"))).alias("lines"),
+        "error",
+        *[F.when(valid, F.col(n)).alias(n) for n in _ORDER_COLUMNS if n != "lines"],
+        "lines",
+        "payload_json",
+        hashing.payload_hash(F.col("payload_json")).alias("payload_hash"),
     )
-    with_json = canonical.withColumn("payload_json", F.when(valid, payload_json()))
-    return with_json.withColumn("payload_hash", hashing.payload_hash(F.col("payload_json")))

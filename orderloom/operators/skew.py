@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
@@ -24,8 +26,9 @@ def attach(
     ``MAX_HOT_KEYS`` heaviest keys above ``hot_rows`` are attached by a broadcast of at
     most that many rows, and their rows are spread by ``spread_column`` (a bigint that
     is unique per row) in the shuffle that serves all other keys. A key outside the
-    broadcast holds at most a ``MAX_HOT_KEYS``-th of the rows. ``count_column`` of
-    ``lookup`` holds the rows per key. Keys must not be null.
+    broadcast holds at most a ``MAX_HOT_KEYS``-th of the rows. Rows with a null key match
+    nothing and are spread the same way. ``count_column`` of ``lookup`` holds the rows per
+    key.
     """
     values = [c for c in lookup.columns if c not in keys and c != count_column]
     hot = (
@@ -36,13 +39,18 @@ def attach(
             *keys, F.lit(True).alias("_is_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
         )
     )
-    # -1 is no row's spread value, so hot rows match nothing in the second join.
+    # -1 is no row's spread value, so spread rows match nothing in the second join.
     cold = lookup.select(
-        *keys, F.lit(-1).cast("bigint").alias("_spread"), *[F.col(v).alias(f"_cold_{v}") for v in values]
+        *keys,
+        F.lit(-1).cast("bigint").alias("_spread"),
+        *[F.col(v).alias(f"_cold_{v}") for v in values],
     )
+    unkeyed = reduce(Column.__or__, [F.col(key).isNull() for key in keys])
     marked = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "_spread",
-        F.when(F.col("_is_hot"), F.col(spread_column)).otherwise(F.lit(-1)).cast("bigint"),
+        F.when(F.col("_is_hot") | unkeyed, F.col(spread_column))
+        .otherwise(F.lit(-1))
+        .cast("bigint"),
     )
     joined = marked.join(cold, [*keys, "_spread"], "left")
     return joined.select(
