@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from orderloom.functions.binding import let
+
 
 def parse_line(raw: Column) -> Column:
     """Parse one line as ``[record, check]``.
@@ -103,31 +105,43 @@ def has_bad_item(lines: Column) -> Column:
     return F.exists(connection_items(lines), lambda item: ~is_object(item))
 
 
-def connection_lines(lines: Column, line_type: str) -> Column:
+def connection_lines(document: Column, path: str, line_type: str) -> Column:
     """Unwrapped items of a connection as ``line_type``; null when it is no connection.
 
     Items that are no objects become null elements. ``line_type`` has a VARIANT field
     ``node``. The usual shapes, every edge with a node object and nodes without one of
     their own, take one cast; all others are unwrapped item by item.
     """
-    edges = F.try_variant_get(lines, "$.edges", f"array<struct<node {line_type}>>")
-    nodes = F.try_variant_get(lines, "$.nodes", f"array<{line_type}>")
-    plain_edges = (F.size(edges) > 0) & F.forall(edges, lambda x: x["node"].isNotNull())
-    plain_nodes = (
-        (F.size(nodes) > 0)
-        & is_empty(inside(lines, "$.edges"))
-        & F.forall(nodes, lambda x: x.isNotNull() & x["node"].isNull())
-    )
-    return F.when(
-        is_object(lines),
-        F.when(plain_edges, edges["node"])
-        .when(plain_nodes, nodes)
-        .otherwise(
+
+    def cast_at(name, kind):
+        return F.try_variant_get(document, f"$[0]{path}.{name}", kind)
+
+    def item_by_item(lines):
+        return F.when(
+            is_object(lines),
             F.transform(
                 connection_items(lines),
                 lambda item: F.try_variant_get(unwrap_node(item), "$", line_type),
-            )
+            ),
+        )
+
+    def usual_edges(edges):
+        usual = (F.size(edges) > 0) & F.forall(edges, lambda x: x["node"].isNotNull())
+        return F.when(usual, edges["node"])
+
+    def usual_nodes(nodes):
+        usual = (F.size(nodes) > 0) & F.forall(
+            nodes, lambda x: x.isNotNull() & x["node"].isNull()
+        )
+        return F.when(usual, nodes)
+
+    return F.coalesce(
+        let(cast_at("edges", f"array<struct<node {line_type}>>"), usual_edges),
+        F.when(
+            is_empty(field(document, f"{path}.edges")),
+            let(cast_at("nodes", f"array<{line_type}>"), usual_nodes),
         ),
+        let(field(document, path), item_by_item),
     )
 
 

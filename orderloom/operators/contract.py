@@ -153,7 +153,6 @@ def _read(lines: DataFrame, raw: str) -> DataFrame:
 def _values(typed: DataFrame) -> DataFrame:
     """Canonical values; null where a value is missing or has the wrong type."""
     order, document = F.col("_order"), F.col("_document")
-    lines = json_values.field(document, ".lines")
     with_values = _step(
         typed,
         order_id=_trimmed(order["id"]),
@@ -165,7 +164,7 @@ def _values(typed: DataFrame) -> DataFrame:
         currency=money.currency(json_values.as_text(order["channel"]["currencyCode"])),
         total_amount=money.amount(order["total"]["gross"]["amount"]),
         _source_lines=F.coalesce(
-            order["lines"], json_values.connection_lines(lines, _RAW_LINE)
+            order["lines"], json_values.connection_lines(document, ".lines", _RAW_LINE)
         ),
     )
     return _step(with_values, _lines=F.transform("_source_lines", _line_values))

@@ -46,7 +46,8 @@ def chain(pages: DataFrame, *by: str) -> DataFrame:
     info = _parsed(pages).select(
         *by,
         F.coalesce(
-            _connection(page, ".pageInfo.hasNextPage").cast("boolean"), F.lit(False)
+            F.try_variant_get(_connection(page, ".pageInfo.hasNextPage"), "$", "boolean"),
+            F.lit(False),
         ).alias("_more"),
         json_values.as_text(_connection(page, ".pageInfo.endCursor")).alias("_cursor"),
     )

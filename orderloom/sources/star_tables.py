@@ -48,7 +48,9 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Current order lines: one per row of ``lineitem``."""
     parts = table(spark, folder, "part").select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("product_name")
+        F.col("p_partkey").alias("l_partkey"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_retailprice").cast("decimal(18,2)").alias("unit_amount"),
     )
     return table(spark, folder, "lineitem").join(parts, "l_partkey").select(
         F.col("l_orderkey").cast("string").alias("order_id"),
@@ -56,7 +58,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         "product_name",
         F.when(F.col("l_partkey") % 50 != 0, F.col("l_partkey").cast("string")).alias("sku"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        F.expr("l_extendedprice / l_quantity").cast("decimal(18,2)").alias("unit_amount"),
+        "unit_amount",
         F.col("l_extendedprice").cast("decimal(18,2)").alias("line_amount"),
     )
 
