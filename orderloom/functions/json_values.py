@@ -57,8 +57,9 @@ def as_integer(value: Column) -> Column:
 
 def positive_quantity(value: Column) -> Column:
     """A true JSON integer from 1 to 2147483647, else null."""
-    number = as_integer(value)
-    return F.when(number.between(1, 2147483647), number.cast("int"))
+    return let(
+        as_integer(value), lambda n: F.when(n.between(1, 2147483647), n.cast("int"))
+    )
 
 
 def is_present(value: Column) -> Column:

@@ -66,9 +66,11 @@ def amount(value: Column) -> Column:
 
     A JSON number with a fraction or exponent counts as its nearest double.
     """
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(text.rlike(_PLAIN), text.try_cast(MONEY)).otherwise(
-        let(value, _amount_of_any_kind)
+    return let(
+        F.try_variant_get(value, "$", "string"),
+        lambda text: F.when(text.rlike(_PLAIN), text.try_cast(MONEY)).otherwise(
+            let(value, _amount_of_any_kind)
+        ),
     )
 
 
@@ -79,5 +81,9 @@ def is_currency_shape(text: Column) -> Column:
 
 def currency(text: Column) -> Column:
     """The upper-cased code when it is an accepted currency, else null."""
-    upper = F.upper(text)
-    return F.when(is_currency_shape(text) & upper.isin(*CURRENCIES), upper)
+    return let(
+        text,
+        lambda t: F.when(
+            is_currency_shape(t) & F.upper(t).isin(*CURRENCIES), F.upper(t)
+        ),
+    )

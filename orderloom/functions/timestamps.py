@@ -103,8 +103,11 @@ def _general_utc(text: Column) -> Column:
 def utc_timestamp(text: Column) -> Column:
     """UTC time (``timestamp_ntz``) of zone-aware ISO text, null for anything else."""
     # A cast to a time without zone ignores the zone, which is UTC here.
-    return F.when(text.rlike(_PLAIN_UTC), text.try_cast("timestamp_ntz")).otherwise(
-        _general_utc(text)
+    return let(
+        text,
+        lambda t: F.when(t.rlike(_PLAIN_UTC), t.try_cast("timestamp_ntz")).otherwise(
+            _general_utc(t)
+        ),
     )
 
 

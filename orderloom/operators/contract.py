@@ -2,16 +2,19 @@
 
 Input is a frame of raw JSON lines. Every rule is a Column expression, so the whole
 check is narrow: no shuffle, no Python in the tasks. A document is parsed once and cast
-once to a struct whose leaves keep their JSON type; rules then look at plain columns,
-and only rows that break one go back to the document for the exact message.
+once to leaves that keep their JSON type. One condition then clears the good rows; only
+rows that fail it look for the first broken rule and its exact message.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import hashing, json_values, money, text, timestamps
+from orderloom.functions.binding import let
 from orderloom.schemas import LINE, STATUSES
 from orderloom.session import prepare
 
@@ -31,36 +34,63 @@ _ORDER_COLUMNS = (
 # VARIANT leaves keep the JSON type of values whose type matters.
 _RAW_MONEY = "struct<gross struct<amount variant, currency string>>"
 _RAW_LINE = (
-    "struct<node variant, id variant, productName variant, productSku variant, variantSku variant, "
-    f"quantity variant, unitPrice {_RAW_MONEY}, totalPrice {_RAW_MONEY}>"
+    "struct<node variant, id variant, productName variant, productSku variant, "
+    f"variantSku variant, quantity variant, unitPrice {_RAW_MONEY}, totalPrice {_RAW_MONEY}>"
 )
-_RAW_ORDER = (
+_RAW_HEAD = (
     "struct<id variant, number variant, created variant, updatedAt variant, status variant, "
-    f"channel struct<slug variant, currencyCode variant>, total {_RAW_MONEY}, "
-    f"lines array<{_RAW_LINE}>>"
+    f"channel struct<slug variant, currencyCode variant>, total {_RAW_MONEY}>"
 )
 
 
-def _step(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that are computed once per row.
+def _step(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """Keep some columns and add others that are computed once per row.
 
     Plain projections would be merged, and filters on their results copied below them,
     which repeats the work per reference; a one-element generator keeps them apart.
     """
     row = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select("*", row.alias("_row")).select(*df.columns, F.inline(F.array("_row")))
+    return df.select(*keep, row.alias("_row")).select(*keep, F.inline(F.array("_row")))
 
 
 def _message(*parts) -> Column:
     return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
 
 
+def _all(*conditions: Column) -> Column:
+    """All conditions hold; an unknown one counts as false."""
+    return F.coalesce(reduce(Column.__and__, conditions), F.lit(False))
+
+
 def _trimmed(value: Column) -> Column:
     return text.trim_blanks(json_values.as_text(value))
 
 
+def _read(raw: Column) -> Column:
+    """Typed leaves of one line of text; a line that is not whole JSON has no head."""
+
+    def leaves(document):
+        plain = F.try_variant_get(document, "$[0].lines", f"array<{_RAW_LINE}>")
+        connection = json_values.connection_lines(document, ".lines", _RAW_LINE)
+        return F.when(
+            json_values.is_whole(document, raw),
+            F.struct(
+                F.try_variant_get(document, "$[0]", _RAW_HEAD).alias("head"),
+                F.coalesce(plain, connection).alias("lines"),
+            ),
+        )
+
+    return let(json_values.parse_line(raw), leaves)
+
+
+def _price(owner: Column, name: str) -> tuple[Column, Column]:
+    """Currency of a price, and which of its objects is missing if one is."""
+    missing = F.when(owner.isNull(), "owner").when(owner["gross"].isNull(), "gross")
+    return owner["gross"]["currency"].alias(f"{name}_currency"), missing.alias(f"{name}_missing")
+
+
 def _line_values(line: Column) -> Column:
-    """Typed values of one raw line; a null marks a value that broke its type."""
+    """Canonical values of one raw line; a null marks a value that broke its type."""
     sku = json_values.preferred_sku(line["productSku"], line["variantSku"])
     return F.struct(
         F.struct(
@@ -72,34 +102,48 @@ def _line_values(line: Column) -> Column:
             money.amount(line["totalPrice"]["gross"]["amount"]).alias("line_amount"),
         ).alias("line"),
         F.coalesce(F.schema_of_variant(sku) != "VOID", F.lit(False)).alias("has_sku"),
-        line.alias("source"),
+        line.isNull().alias("is_missing"),
+        *_price(line["unitPrice"], "unit"),
+        *_price(line["totalPrice"], "total"),
+    )
+
+
+def _line_is_good(values: Column, currency: Column) -> Column:
+    """Whether a line breaks no rule of its own; repeated IDs are a matter of the order."""
+    line = values["line"]
+    return _all(
+        line["line_id"] != "",
+        line["quantity"].isNotNull(),
+        line["product_name"] != "",
+        ~values["has_sku"] | (F.coalesce(line["sku"], F.lit("")) != ""),
+        values["unit_currency"] == currency,
+        line["unit_amount"].isNotNull(),
+        values["total_currency"] == currency,
+        line["line_amount"].isNotNull(),
     )
 
 
-def _money_error(owner: Column, owner_name: str, currency: Column, value: Column, prefix) -> Column:
-    """First broken money rule; ``owner`` is the raw object that holds ``gross``."""
-    gross = owner["gross"]
+def _money_error(
+    given: Column, missing: Column, value: Column, currency: Column, owner: str, prefix
+) -> Column:
+    """First broken rule of a price."""
     return F.when(
-        ~gross["currency"].eqNullSafe(currency),
-        F.when(owner.isNull(), F.lit(f"{owner_name} must be an object"))
-        .when(gross.isNull(), _message(prefix, " must be a money object"))
+        ~given.eqNullSafe(currency),
+        F.when(missing == "owner", F.lit(f"{owner} must be an object"))
+        .when(missing == "gross", _message(prefix, " must be a money object"))
         .otherwise(_message(prefix, " currency must match order currency")),
     ).when(value.isNull(), _message(prefix, ".amount must be numeric"))
 
 
-def _line_error(values: Column, index: Column, ids: Column, repeated: Column, currency) -> Column:
+def _line_error(values: Column, index: Column, ids: Column, currency: Column) -> Column:
     """First broken rule of one line."""
     at = _message("lines[", index.cast("string"), "]")
-    line, source = values["line"], values["source"]
+    line = values["line"]
     return F.coalesce(
+        F.when(values["is_missing"], _message(at, " must be an object")),
+        F.when(text.is_blank(line["line_id"]), _message(at, ".id must be a nonempty string")),
         F.when(
-            text.is_blank(line["line_id"]),
-            F.when(source.isNull(), _message(at, " must be an object")).otherwise(
-                _message(at, ".id must be a nonempty string")
-            ),
-        ),
-        F.when(
-            repeated & (F.array_position(ids, line["line_id"]) < index + 1),
+            F.array_position(ids, line["line_id"]) < index + 1,
             F.lit("line IDs must be unique strings"),
         ),
         F.when(
@@ -113,17 +157,19 @@ def _line_error(values: Column, index: Column, ids: Column, repeated: Column, cu
             values["has_sku"] & text.is_blank(line["sku"]), F.lit("sku must be a nonempty string")
         ),
         _money_error(
-            source["unitPrice"],
-            "unitPrice",
-            currency,
+            values["unit_currency"],
+            values["unit_missing"],
             line["unit_amount"],
+            currency,
+            "unitPrice",
             _message(at, ".unitPrice.gross"),
         ),
         _money_error(
-            source["totalPrice"],
-            "totalPrice",
-            currency,
+            values["total_currency"],
+            values["total_missing"],
             line["line_amount"],
+            currency,
+            "totalPrice",
             _message(at, ".totalPrice.gross"),
         ),
     )
@@ -137,106 +183,107 @@ def repeated_positions(ids: Column) -> Column:
     )
 
 
-def _read(lines: DataFrame, raw: str) -> DataFrame:
-    """Parse each line and cast it to typed leaves."""
-    document = F.col("_document")
-    parsed = _step(lines, _document=json_values.parse_line(F.col(raw)))
-    whole = json_values.is_whole(document, F.col(raw))
-    typed = _step(
-        parsed,
-        _is_json=whole,
-        _order=F.when(whole, F.try_variant_get(document, "$[0]", _RAW_ORDER)),
-    )
-    return typed
-
-
-def _values(typed: DataFrame) -> DataFrame:
+def _values(read: DataFrame, keep: list[str]) -> DataFrame:
     """Canonical values; null where a value is missing or has the wrong type."""
-    order, document = F.col("_order"), F.col("_document")
-    with_values = _step(
-        typed,
-        order_id=_trimmed(order["id"]),
-        order_number=_trimmed(order["number"]),
-        created_at=timestamps.utc_timestamp(json_values.as_text(order["created"])),
-        updated_at=timestamps.utc_timestamp(json_values.as_text(order["updatedAt"])),
-        status=_trimmed(order["status"]),
-        channel=_trimmed(order["channel"]["slug"]),
-        currency=money.currency(json_values.as_text(order["channel"]["currencyCode"])),
-        total_amount=money.amount(order["total"]["gross"]["amount"]),
-        _source_lines=F.coalesce(
-            order["lines"], json_values.connection_lines(document, ".lines", _RAW_LINE)
-        ),
+    head = F.col("_read")["head"]
+    total_currency, total_missing = _price(head["total"], "_total")
+    return _step(
+        read,
+        keep,
+        order_id=_trimmed(head["id"]),
+        order_number=_trimmed(head["number"]),
+        created_at=timestamps.utc_timestamp(json_values.as_text(head["created"])),
+        updated_at=timestamps.utc_timestamp(json_values.as_text(head["updatedAt"])),
+        status=_trimmed(head["status"]),
+        channel=_trimmed(head["channel"]["slug"]),
+        currency=money.currency(json_values.as_text(head["channel"]["currencyCode"])),
+        total_amount=money.amount(head["total"]["gross"]["amount"]),
+        _total_currency=total_currency,
+        _total_missing=total_missing,
+        _lines=F.transform(F.col("_read")["lines"], _line_values),
     )
-    return _step(with_values, _lines=F.transform("_source_lines", _line_values))
 
 
-def _line_checks(values: DataFrame) -> DataFrame:
-    """First error among the lines, if any."""
-    lines = json_values.field(F.col("_document"), ".lines")
+def _is_good() -> Column:
+    """Whether the row breaks no rule."""
     ids = F.col("_lines")["line"]["line_id"]
-    known = F.filter(ids, lambda x: x.isNotNull())
-    # Hash-based, so long orders stay linear; positions are looked up only on a hit.
-    repeated = F.size(F.array_distinct(known)) < F.size(known)
-    with_ids = _step(values, _ids=ids, _repeated=repeated)
-    errors = F.transform(
-        "_lines",
-        lambda x, i: _line_error(x, i, F.col("_ids"), F.col("_repeated"), F.col("currency")),
-    )
-    lost_item = F.col("_order")["lines"].isNull() & F.exists(
-        "_source_lines", lambda x: x.isNull()
-    )
-    return _step(
-        with_ids,
-        _line_error=F.coalesce(
-            F.when(
-                lost_item & json_values.has_bad_item(lines), F.lit("line must be an object")
-            ),
-            F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0)),
-        ),
+    return _all(
+        F.col("currency").isNotNull(),
+        F.size("_lines") > 0,
+        F.forall("_lines", lambda x: _line_is_good(x, F.col("currency"))),
+        # Hash-based, so that long orders stay linear.
+        F.size(F.array_distinct(ids)) == F.size(ids),
+        F.col("updated_at") >= F.col("created_at"),
+        F.col("status").isin(*STATUSES),
+        F.col("order_id") != "",
+        F.col("order_number") != "",
+        F.col("channel") != "",
+        F.col("_total_currency") == F.col("currency"),
+        F.col("total_amount").isNotNull(),
     )
 
 
-def _first_error() -> Column:
-    document, order = F.col("_document"), F.col("_order")
-    lines = json_values.field(document, ".lines")
+def _lines_error(document: Column) -> Column:
+    """First broken rule among the lines."""
+    lines, ids = json_values.field(document, ".lines"), F.col("_lines")["line"]["line_id"]
     connection = json_values.connection_items(lines)
-
-    def channel_error():
-        channel, code = json_values.field(document, ".channel"), order["channel"]["currencyCode"]
-        letters = F.coalesce(money.is_currency_shape(json_values.as_text(code)), F.lit(False))
-        return (
-            F.when(
-                ~json_values.is_object(channel) & ~json_values.is_empty(channel),
-                F.lit("channel must be an object"),
-            )
-            .when(~json_values.is_present(code), F.lit("channel.currencyCode is required"))
-            .when(~letters, F.lit("channel.currencyCode must be a three-letter currency"))
-            .otherwise(F.lit("currency must be USD, EUR or PLN"))
+    errors = F.transform("_lines", lambda x, i: _line_error(x, i, ids, F.col("currency")))
+    return (
+        F.when(
+            json_values.is_object(lines) & connection.isNull(),
+            F.lit("line connection must contain a list"),
+        )
+        .when(
+            F.coalesce(F.size("_lines") < 1, F.lit(True)),
+            F.lit("lines must contain at least one line"),
         )
+        .when(
+            json_values.is_object(lines) & json_values.has_bad_item(lines),
+            F.lit("line must be an object"),
+        )
+        .otherwise(F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0)))
+    )
+
 
-    def timestamp_error(name):
-        no_zone = timestamps.lacks_zone(json_values.as_text(order[name]))
-        return F.when(no_zone, F.lit(f"{name} must include a timezone")).otherwise(
-            F.lit(f"{name} must be an ISO-8601 timestamp")
+def _channel_error(document: Column) -> Column:
+    """Why there is no accepted currency."""
+    channel = json_values.field(document, ".channel")
+    code = json_values.inside(channel, "$.currencyCode")
+    letters = F.coalesce(money.is_currency_shape(json_values.as_text(code)), F.lit(False))
+    return (
+        F.when(
+            ~json_values.is_object(channel) & ~json_values.is_empty(channel),
+            F.lit("channel must be an object"),
         )
+        .when(~json_values.is_present(code), F.lit("channel.currencyCode is required"))
+        .when(~letters, F.lit("channel.currencyCode must be a three-letter currency"))
+        .otherwise(F.lit("currency must be USD, EUR or PLN"))
+    )
+
+
+def _timestamp_error(document: Column, name: str) -> Column:
+    no_zone = timestamps.lacks_zone(json_values.as_text(json_values.field(document, f".{name}")))
+    return F.when(no_zone, F.lit(f"{name} must include a timezone")).otherwise(
+        F.lit(f"{name} must be an ISO-8601 timestamp")
+    )
+
+
+def _first_error(document: Column, raw: Column) -> Column:
+    """The first broken rule of a bad row, in contract order."""
 
     def required(column, name):
         return F.when(text.is_blank(F.col(column)), F.lit(f"{name} must be a nonempty string"))
 
     return F.coalesce(
-        F.when(~F.col("_is_json"), F.lit("record must be valid JSON")),
-        F.when(order.isNull(), F.lit("record must be a JSON object")),
-        F.when(F.col("currency").isNull(), channel_error()),
+        F.when(~json_values.is_whole(document, raw), F.lit("record must be valid JSON")),
         F.when(
-            F.coalesce(F.size("_lines") < 1, F.lit(True)),
-            F.when(
-                json_values.is_object(lines) & connection.isNull(),
-                F.lit("line connection must contain a list"),
-            ).otherwise(F.lit("lines must contain at least one line")),
+            ~json_values.is_object(F.try_variant_get(document, "$[0]", "variant")),
+            F.lit("record must be a JSON object"),
         ),
-        F.col("_line_error"),
-        F.when(F.col("created_at").isNull(), timestamp_error("created")),
-        F.when(F.col("updated_at").isNull(), timestamp_error("updatedAt")),
+        F.when(F.col("currency").isNull(), _channel_error(document)),
+        _lines_error(document),
+        F.when(F.col("created_at").isNull(), _timestamp_error(document, "created")),
+        F.when(F.col("updated_at").isNull(), _timestamp_error(document, "updatedAt")),
         F.when(
             F.col("updated_at") < F.col("created_at"), F.lit("updatedAt must not precede created")
         ),
@@ -246,7 +293,12 @@ def _first_error() -> Column:
         required("order_number", "number"),
         required("channel", "channel.slug"),
         _money_error(
-            order["total"], "total", F.col("currency"), F.col("total_amount"), F.lit("total.gross")
+            F.col("_total_currency"),
+            F.col("_total_missing"),
+            F.col("total_amount"),
+            F.col("currency"),
+            "total",
+            F.lit("total.gross"),
         ),
     )
 
@@ -267,18 +319,26 @@ def judge(lines: DataFrame, raw: str = "raw") -> DataFrame:
     columns, all null on an invalid row. The raw text and other columns stay.
     """
     prepare(lines.sparkSession)
-    judged = _step(_line_checks(_values(_read(lines, raw))), error=_first_error())
+    keep, text_line = lines.columns, F.col(raw)
+    heads = [name for name in _ORDER_COLUMNS if name != "lines"]
+    values = _values(_step(lines, keep, _read=_read(text_line)), keep)
+    bad = let(json_values.parse_line(text_line), lambda document: _first_error(document, text_line))
+    judged = _step(
+        values,
+        [*keep, *heads],
+        error=F.when(~_is_good(), bad),
+        lines=F.sort_array(F.col("_lines")["line"]).cast(f"array<{LINE}>"),
+    )
     valid = F.col("error").isNull()
-    with_lines = _step(
+    final = _step(
         judged,
-        lines=F.when(valid, F.sort_array(F.col("_lines")["line"]).cast(f"array<{LINE}>")),
+        [*keep, *heads, "lines", "error"],
+        payload_json=F.when(valid, payload_json(F.col("lines"))),
     )
-    final = _step(with_lines, payload_json=F.when(valid, payload_json(F.col("lines"))))
     return final.select(
-        *[F.col(name) for name in lines.columns],
+        *keep,
         "error",
-        *[F.when(valid, F.col(n)).alias(n) for n in _ORDER_COLUMNS if n != "lines"],
-        "lines",
+        *[F.when(valid, F.col(name)).alias(name) for name in _ORDER_COLUMNS],
         "payload_json",
         hashing.payload_hash(F.col("payload_json")).alias("payload_hash"),
     )

@@ -65,3 +65,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle rows ahead of CPU-heavy work only when the scan has too few tasks.
+
+    A small file holds few row groups and would keep most cores idle; a large table has
+    more tasks than cores already and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)

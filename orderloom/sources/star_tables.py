@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.session import prepare
+from orderloom.session import prepare, spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,13 +20,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 _CURRENCY = "CASE pmod(c_nationkey, 3) WHEN 0 THEN 'USD' WHEN 1 THEN 'EUR' ELSE 'PLN' END"
 
 
-def _orders_with_customer(spark: SparkSession, folder: str) -> DataFrame:
+def _orders_with_customer(
+    spark: SparkSession, folder: str, spread_by: str | None = None
+) -> DataFrame:
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
         F.col("c_mktsegment").alias("channel"),
         F.expr(_CURRENCY).alias("currency"),
     )
-    return table(spark, folder, "orders").join(customers, "o_custkey")
+    base = table(spark, folder, "orders")
+    if spread_by:
+        base = spread(base, spread_by)
+    return base.join(customers, "o_custkey")
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,7 +168,7 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     text = F.expr(document)
     cut = F.expr(f"{key} % 71 = 0")
     return (
-        _orders_with_customer(spark, folder)
+        _orders_with_customer(spark, folder, spread_by="o_orderkey")
         .withColumn("raw", text)
         .select(
             F.lit("orders").alias("source_file"),
@@ -198,7 +203,7 @@ def raw_event_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.expr(status),
         "user_id",
     )
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events"), "event_id").select(
         F.lit("events").alias("source_file"),
         (F.col("event_id") + 1).alias("line_number"),
         F.col("event_id").alias("line_key"),
