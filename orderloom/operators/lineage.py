@@ -14,7 +14,7 @@ def orders_behind(groups: DataFrame, orders: DataFrame) -> DataFrame:
     traced = metrics.counted(orders).select(
         *keys, "order_id", "updated_at", "snapshot_id", "payload_hash"
     )
-    return traced.join(groups.select(*keys).distinct(), keys, "left_semi")
+    return traced.join(groups.select(*keys), keys, "left_semi")
 
 
 def raw_lines_behind(
