@@ -39,11 +39,12 @@ def attach(
             *keys, F.lit(True).alias("_is_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values]
         )
     )
-    # -1 is no row's spread value, so spread rows match nothing in the second join.
+    # Always -1, which is no row's spread value, so spread rows match nothing in the second
+    # join. A plain literal would be folded out of the join keys, and with it the spreading.
     cold = lookup.select(
         *keys,
-        F.lit(-1).cast("bigint").alias("_spread"),
         *[F.col(v).alias(f"_cold_{v}") for v in values],
+        F.least(F.col(count_column), F.lit(-1).cast("bigint")).alias("_spread"),
     )
     unkeyed = reduce(Column.__or__, [F.col(key).isNull() for key in keys])
     marked = rows.join(F.broadcast(hot), keys, "left").withColumn(

@@ -43,6 +43,31 @@ def test_classification_with_a_hot_key(spark, hot_rows):
     assert len(got) == 3000
 
 
+def test_hot_rows_are_spread_in_the_shuffle(spark):
+    """Rows of a hot key must not meet in one task of the classifying join."""
+    frame = spark.range(40000).select(
+        F.col("id").alias("line_key"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("order_id"),
+        F.lit("2026-01-01").cast("timestamp_ntz").alias("updated_at"),
+        F.lit("p").alias("payload_hash"),
+        F.lit(None).cast("string").alias("error"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        done = dedup.classify(frame, hot_rows=1000)
+        plan = done._jdf.queryExecution().executedPlan().toString()
+        per_task = done.groupBy(F.spark_partition_id()).count().collect()
+        assert done.filter("outcome = 'accepted'").count() == 26667
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "ReusedExchange" in plan
+    assert max(row["count"] for row in per_task) < 40000 / 8 * 1.2
+
+
 def test_same_key_in_two_batches_is_no_duplicate(spark):
     rows = [("s1", 0, "o", "p", None), ("s2", 0, "o", "q", None), ("s1", 1, "o", "p", None)]
     frame = spark.createDataFrame(
