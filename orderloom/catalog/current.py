@@ -58,6 +58,15 @@ def current_order_lines(spark, folder):
     return history.current_order_lines(lines, orders).select(*_LINE_COLUMNS)
 
 
+def staging_orders(spark, folder):
+    versions = history.order_versions(star.order_versions(spark, folder))
+    return versions.drop("payload_json", "order_number")
+
+
+def staging_lines(spark, folder):
+    return history.line_versions(star.order_versions(spark, folder))
+
+
 def current_lines_nested(spark, folder):
     return history.lines_of(_current(spark, folder)).select(*_LINE_COLUMNS)
 
@@ -199,6 +208,8 @@ _SUITE_VIEWS = f"{views.DAILY}, {views.LINES}, {views.VERSIONS}, {_SUITE}"
 QUERIES = {
     "daily_order_metrics": daily_order_metrics,
     "daily_product_metrics": daily_product_metrics,
+    "staging_orders": staging_orders,
+    "staging_lines": staging_lines,
     "current_orders": current_orders,
     "current_order_lines": current_order_lines,
     "current_lines_nested": current_lines_nested,
@@ -221,6 +232,13 @@ QUERIES = {
 SQL = {
     "daily_order_metrics": with_views(views.DAILY, "SELECT * FROM daily_v"),
     "daily_product_metrics": with_views(views.PRODUCTS, "SELECT * FROM products_v"),
+    "staging_orders": with_views(
+        views.VERSIONS,
+        f"SELECT {', '.join(_ORDER_COLUMNS)}, created_at FROM versions_v",
+    ),
+    "staging_lines": with_views(
+        views.VERSION_LINES, f"SELECT {', '.join(_LINE_COLUMNS)} FROM version_lines_v"
+    ),
     "current_orders": with_views(
         views.CURRENT, f"SELECT {', '.join(_ORDER_COLUMNS)} FROM current_v"
     ),

@@ -62,6 +62,11 @@ def window_read_half_open(spark, folder):
     return windows.read_window(orders, window, "o_orderdate")
 
 
+def source_update_order(spark, folder):
+    events = star.table(spark, folder, "events").select("event_id", "ts", "user_id")
+    return windows.in_update_order(events, "ts", "event_id")
+
+
 def _pages(spark, folder):
     """One landed page per event; the pages of a user are one extraction."""
     edges = F.expr(
@@ -257,6 +262,7 @@ QUERIES = {
     "window_backfill": window_backfill,
     "window_read_inclusive": window_read_inclusive,
     "window_read_half_open": window_read_half_open,
+    "source_update_order": source_update_order,
     "page_nodes": page_nodes,
     "page_chain": page_chain,
     "high_water_marks": high_water_marks,
@@ -337,6 +343,7 @@ SQL = {
     "window_read_half_open": """
         SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1996-03-01'
           AND o_orderdate < TIMESTAMP '1996-04-01'""",
+    "source_update_order": "SELECT event_id, ts, user_id FROM events ORDER BY ts, event_id",
     "page_nodes": """
         SELECT event_id, CAST(j AS INTEGER) AS position, '{"id":"' || event_id || '-' || j || '"}' AS raw
         FROM events, (VALUES (0), (1), (2)) AS n(j) WHERE j < event_id % 4""",

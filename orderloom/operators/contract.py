@@ -135,17 +135,14 @@ def _money_error(
     ).when(value.isNull(), _message(prefix, ".amount must be numeric"))
 
 
-def _line_error(values: Column, index: Column, ids: Column, currency: Column) -> Column:
-    """First broken rule of one line."""
+def _line_error(values: Column, index: Column, first_repeat: Column, currency: Column) -> Column:
+    """First broken rule of one line; ``first_repeat`` is where a line ID first recurs."""
     at = _message("lines[", index.cast("string"), "]")
     line = values["line"]
     return F.coalesce(
         F.when(values["is_missing"], _message(at, " must be an object")),
         F.when(text.is_blank(line["line_id"]), _message(at, ".id must be a nonempty string")),
-        F.when(
-            F.array_position(ids, line["line_id"]) < index + 1,
-            F.lit("line IDs must be unique strings"),
-        ),
+        F.when(index == first_repeat, F.lit("line IDs must be unique strings")),
         F.when(
             line["quantity"].isNull(), _message(at, ".quantity must be a positive integer")
         ),
@@ -176,11 +173,21 @@ def _line_error(values: Column, index: Column, ids: Column, currency: Column) ->
 
 
 def repeated_positions(ids: Column) -> Column:
-    """Positions (from 0) whose ID already stands earlier in the array."""
-    return F.filter(
-        F.transform(ids, lambda x, i: F.when(F.array_position(ids, x) < i + 1, i)),
-        lambda i: i.isNotNull(),
+    """Positions (from 0) whose ID already stands earlier in the array, by sorting it."""
+
+    def repeats(ranked):
+        again = F.transform(
+            ranked,
+            lambda x, i: F.when(
+                (i > 0) & (F.get(ranked, i - 1)["id"] == x["id"]), x["position"]
+            ),
+        )
+        return F.sort_array(F.filter(again, lambda position: position.isNotNull()))
+
+    ranked = F.sort_array(
+        F.transform(ids, lambda x, i: F.struct(x.alias("id"), i.alias("position")))
     )
+    return let(ranked, repeats)
 
 
 def _values(read: DataFrame, keep: list[str]) -> DataFrame:
@@ -227,7 +234,13 @@ def _lines_error(document: Column) -> Column:
     """First broken rule among the lines."""
     lines, ids = json_values.field(document, ".lines"), F.col("_lines")["line"]["line_id"]
     connection = json_values.connection_items(lines)
-    errors = F.transform("_lines", lambda x, i: _line_error(x, i, ids, F.col("currency")))
+
+    def first_of_lines(first_repeat):
+        errors = F.transform(
+            "_lines", lambda x, i: _line_error(x, i, first_repeat, F.col("currency"))
+        )
+        return F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0))
+
     return (
         F.when(
             json_values.is_object(lines) & connection.isNull(),
@@ -241,7 +254,7 @@ def _lines_error(document: Column) -> Column:
             json_values.is_object(lines) & json_values.has_bad_item(lines),
             F.lit("line must be an object"),
         )
-        .otherwise(F.get(F.filter(errors, lambda e: e.isNotNull()), F.lit(0)))
+        .otherwise(let(F.array_min(repeated_positions(ids)), first_of_lines))
     )
 
 

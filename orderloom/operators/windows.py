@@ -102,3 +102,11 @@ def read_window(source: DataFrame, window: dict, column: str = "updated_at") ->
     if window["mode"] == "backfill":
         return source.filter(within_half_open(column, window["lower"], window["upper"]))
     return source.filter(within(column, window["lower"], window["upper"]))
+
+
+def in_update_order(source: DataFrame, column: str, *unique: str) -> DataFrame:
+    """Rows sorted by update time, for readers that ask for the source's order.
+
+    Naming columns that tell rows apart lets equal times split over several tasks.
+    """
+    return source.orderBy(column, *unique)

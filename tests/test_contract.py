@@ -182,3 +182,14 @@ def test_filters_do_not_repeat_the_parse(spark):
     plan = frame.filter(F.col("error").isNull())._jdf.queryExecution().optimizedPlan().toString()
     # Once to read the values and once for the rows that broke a rule.
     assert plan.count("parseJson") == 2
+
+
+def test_long_orders_stay_linear(spark):
+    """Ten thousand lines, one of them repeated at the end."""
+    lines = [{**LINE, "id": f"x{i}"} for i in range(10000)]
+    from conftest import ORDER
+
+    good, bad = {**ORDER, "lines": lines}, {**ORDER, "lines": [*lines, LINE, LINE]}
+    frame = spark.createDataFrame([(json.dumps(o),) for o in (good, bad)], "raw string")
+    errors = [row["error"] for row in contract.judge(frame).select("error").collect()]
+    assert errors == [None, "line IDs must be unique strings"]
