@@ -33,20 +33,6 @@ LINE = (
     f"unit_amount {MONEY}, line_amount {MONEY}>"
 )
 
-ORDER_FIELDS = (
-    "order_id",
-    "order_number",
-    "created_at",
-    "updated_at",
-    "status",
-    "channel",
-    "currency",
-    "total_amount",
-    "lines",
-    "payload_json",
-    "payload_hash",
-)
-
 EXTRACTION = (
     "struct<mode string, source string, upper string, lower string, "
     "base_watermark string, range_semantics string, watermark_advance boolean>"
@@ -58,7 +44,6 @@ ACCEPTED = (
     f"updated_at timestamp_ntz, status string, channel string, currency string, "
     f"total_amount {MONEY}, lines array<{LINE}>, payload_json string, payload_hash string"
 )
-QUARANTINE = "source_file string, line_number bigint, line_key bigint, error string, raw string"
 MANIFEST = (
     "snapshot_id string, extracted_at string, raw_fingerprint string, "
     "accepted_fingerprint string, input_count bigint, accepted_count bigint, "

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,3 +79,26 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)
+
+
+# Stored bytes per shuffle task; rows take several times as much in memory.
+BYTES_PER_TASK = 64 * 1024 * 1024
+MAX_SHUFFLE_TASKS = 100_000
+
+
+@contextmanager
+def shuffles_for(df: DataFrame) -> Iterator[None]:
+    """Raise the number of shuffle tasks to what the size of ``df``'s files calls for.
+
+    Adaptive execution merges small shuffle partitions but never splits plain ones up, so
+    a large input needs enough of them from the start. The setting is restored at the end.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = min(size // BYTES_PER_TASK + 1, MAX_SHUFFLE_TASKS)
+    conf.set(key, str(max(int(before), wanted)))
+    try:
+        yield
+    finally:
+        conf.set(key, before)

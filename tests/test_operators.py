@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom import session
 from orderloom.operators import dedup, history, metrics, quality, report, windows
 from orderloom.sources.text_lines import read_lines
 
@@ -205,3 +206,15 @@ def test_suite_finds_each_fault(spark):
         # The null currency never matches, so both sides' groups of it differ.
         "reconcile_daily_order_metrics": 1,
     }
+
+
+def test_shuffle_tasks_follow_the_input_size(spark, monkeypatch):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    lineitem = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    with session.shuffles_for(lineitem):
+        assert spark.conf.get(key) == before
+    monkeypatch.setattr(session, "BYTES_PER_TASK", 100_000)
+    with session.shuffles_for(lineitem):
+        assert int(spark.conf.get(key)) > int(before)
+    assert spark.conf.get(key) == before
