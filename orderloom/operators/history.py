@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orderloom.operators import skew
+
 ORDER_VERSION_COLUMNS = (
     "order_id",
     "order_number",
@@ -34,11 +36,12 @@ LINE_VERSION_COLUMNS = (
 def approved(history: DataFrame, manifests: DataFrame, exclusions: DataFrame) -> DataFrame:
     """History rows of snapshots that passed their gate and are not excluded.
 
-    The joins run over snapshot IDs only; one row per snapshot is what the session
-    prunes partitions with.
+    Snapshots are chosen first, one row each; history meets only the short list, and one
+    snapshot with a large share of the rows does not end up in one task.
     """
     passed = manifests.filter(F.col("quality_gate") == "passed").select("snapshot_id")
-    return without_excluded(history.join(passed, "snapshot_id", "left_semi"), exclusions)
+    chosen = without_excluded(passed, exclusions)
+    return skew.keep_matching_few(history, chosen, ["snapshot_id"], "order_id")
 
 
 def without_excluded(history: DataFrame, exclusions: DataFrame) -> DataFrame:

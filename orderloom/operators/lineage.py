@@ -3,31 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from orderloom.operators import metrics
-
-SALTS = 32
+from orderloom.operators import metrics, skew
 
 
 def orders_behind(groups: DataFrame, orders: DataFrame) -> DataFrame:
     """Orders that make up the given daily metric groups.
 
-    One group may hold a large share of all orders, so its orders are dealt out over
-    ``SALTS`` copies of the group's one row.
+    One group may hold a large share of all orders; its orders are dealt out in the join.
     """
     keys = list(metrics.ORDER_GROUP)
     traced = metrics.counted(orders).select(
-        *keys,
-        "order_id",
-        "updated_at",
-        "snapshot_id",
-        "payload_hash",
-        F.pmod(F.xxhash64("order_id"), F.lit(SALTS)).alias("_salt"),
+        *keys, "order_id", "updated_at", "snapshot_id", "payload_hash"
     )
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    copies = groups.select(*keys, F.explode(salts).alias("_salt"))
-    return traced.join(copies, [*keys, "_salt"], "left_semi").drop("_salt")
+    return skew.keep_matching(traced, groups, keys, "order_id")
 
 
 def raw_lines_behind(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
+SALTS = 32
 
 
 def attach(
@@ -58,3 +59,24 @@ def attach(
         *[F.col(c) for c in rows.columns],
         *[F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values],
     )
+
+
+def keep_matching(rows: DataFrame, wanted: DataFrame, keys: list[str], spread_by: str) -> DataFrame:
+    """Rows whose keys occur in ``wanted``, a frame much shorter than ``rows``.
+
+    One key may match a large share of the rows, so the rows of a key are dealt out by
+    ``spread_by`` over ``SALTS`` copies of it.
+    """
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS).cast("bigint"))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    copies = wanted.select(*keys, F.explode(salts).alias("_salt"))
+    return rows.withColumn("_salt", salt).join(copies, [*keys, "_salt"], "left_semi").drop("_salt")
+
+
+def keep_matching_few(
+    rows: DataFrame, wanted: DataFrame, keys: list[str], spread_by: str
+) -> DataFrame:
+    """The same for ``wanted`` that is usually short: broadcast when counted as such."""
+    if wanted.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
+        return keep_matching(rows, wanted, keys, spread_by)
+    return rows.join(F.broadcast(wanted.select(*keys)), keys, "left_semi")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderloom import session
-from orderloom.operators import dedup, history, metrics, quality, report, windows
+from orderloom.operators import dedup, history, metrics, quality, report, skew, windows
 from orderloom.sources.text_lines import read_lines
 
 
@@ -218,3 +218,15 @@ def test_shuffle_tasks_follow_the_input_size(spark, monkeypatch):
     with session.shuffles_for(lineitem):
         assert int(spark.conf.get(key)) > int(before)
     assert spark.conf.get(key) == before
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_matching_rows_by_broadcast_and_by_salt(spark, monkeypatch, most):
+    monkeypatch.setattr(skew, "MAX_HOT_KEYS", most)
+    rows = spark.range(3000).select(
+        F.col("id").cast("string").alias("order_id"),
+        F.when(F.col("id") % 3 > 0, "s1").otherwise(F.concat(F.lit("t"), F.col("id") % 9)).alias("key"),
+    )
+    wanted = spark.createDataFrame([("s1",), ("t3",), ("absent",)], "key string")
+    got = skew.keep_matching_few(rows, wanted, ["key"], "order_id").groupBy("key").count().collect()
+    assert {r["key"]: r["count"] for r in got} == {"s1": 2000, "t3": 333}
