@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import line_dedup, mixing, packing, quality_rules, simhash_dedup
+from orderloom.llm import chat_format, line_dedup, mixing, packing, quality_rules, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,6 +41,23 @@ def op3_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 
+#: What both turns of the conversation that ``op4_chat_format`` adds say.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one of control strings, formatted and read back."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    return chat_format.read_back(chat_format.formatted(turns.unionByName(extra)))
+
+
 @query
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the lines that many sites share."""
@@ -116,3 +133,22 @@ select doc_id, source, copy, rate,
   md5('{mixing.SEED}:order:' || doc_id || ':' || copy) as shuffle_key, text
 from exploded
 """
+
+SQL["op4_chat_format"] = f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '{CONTROL_TEXT}'
+  union all select -1, 1, 'assistant', '{CONTROL_TEXT}'
+), marked as (
+  select *, coalesce(lag(role) over w <> role, true) as opens,
+    length(text) + len(regexp_extract_all(text, '[<\\[]\\\\*{chat_format.TAILS}')) as escaped
+  from turns window w as (partition by conv_id order by turn)
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+  sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn), '')) as loss_sha256,
+  sum(escaped + case when not opens then 5 when role = 'system' then 15 when role = 'user' then 13
+    when role = 'assistant' then 7 else 19 + length(role) end)::bigint as formatted_chars
+from marked group by conv_id
+"""
