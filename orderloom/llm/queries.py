@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat_format, line_dedup, mixing, packing, quality_rules, simhash_dedup
+from orderloom.llm import chat_format, html_extraction, line_dedup, mixing, packing, quality_rules, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,6 +34,12 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
 
+@query
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extraction.extract(table(spark, folder, "pages"))
+
+
 @query
 def op3_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
