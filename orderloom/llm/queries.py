@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import chat_format, html_extraction, line_dedup, mixing, packing, quality_rules, simhash_dedup
+from orderloom.llm import (
+    chat_format,
+    html_extraction,
+    language_id,
+    line_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    simhash_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,6 +73,20 @@ def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.read_back(chat_format.formatted(turns.unionByName(extra)))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Documents that nothing is learned from. A null doc_id is one of them."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+@query
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned from those not held out."""
+    docs = table(spark, folder, "documents")
+    labelled = docs.filter(~held_out(F.col("doc_id"))).select("text", "lang")
+    found = language_id.identify(docs, language_id.fit(labelled))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the lines that many sites share."""
