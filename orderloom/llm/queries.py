@@ -14,6 +14,7 @@ from orderloom.llm import (
     line_dedup,
     mixing,
     packing,
+    pii,
     quality_rules,
     simhash_dedup,
 )
@@ -97,6 +98,13 @@ def with_length(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@query
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = table(spark, folder, "documents")
+    return pii.detect(docs, pii.fit(docs))
+
+
 @query
 def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """The mixture of all documents by flattened source sizes, in random order."""
