@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.llm import (
     chat_format,
+    embedding_dedup,
     html_extraction,
     language_id,
     line_dedup,
@@ -88,6 +89,12 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @query
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without the lines that many sites share."""
@@ -189,3 +196,25 @@ select conv_id, count(*) as n_turns,
     when role = 'assistant' then 7 else 19 + length(role) end)::bigint as formatted_chars
 from marked group by conv_id
 """
+
+SQL["op6_embedding_dedup"] = f"""
+with recursive units as (
+  select vec_id, label, list_transform(embedding, x -> x::double) as v from embeddings
+  where label is not null and vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, x -> x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from units a join units b
+    on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= {embedding_dedup.COSINE}
+), reached(a, b) as (
+  select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a
+), counted as (
+  select a, count(*) as n from links group by a
+), smallest as (
+  select a, min(b) as b from reached group by a
+)
+select vec_id, coalesce(n, 0)::bigint as n_links, least(vec_id, coalesce(b, vec_id)) as component_id,
+  vec_id <= coalesce(b, vec_id) as kept
+from embeddings e left join counted c on e.vec_id = c.a left join smallest s on e.vec_id = s.a
+"""
