@@ -199,10 +199,10 @@ from marked group by conv_id
 
 SQL["op6_embedding_dedup"] = f"""
 with recursive units as (
-  select vec_id, label, list_transform(embedding, x -> x::double) as v from embeddings
+  select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings
   where label is not null and vec_id is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-    and len(list_filter(embedding, x -> x <> 0)) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), links as (
   select a.vec_id as a, b.vec_id as b from units a join units b
     on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
