@@ -113,8 +113,9 @@ def remove_boilerplate(
         "removed-lines",
     )
     text = given["text"]
+    # As many rows as changed texts: grows with the corpus, so it is never broadcast by us.
     joined = given.rows.join(
-        few(removed),
+        removed,
         given["doc_id"].eqNullSafe(F.col("at_id")) & (F.xxhash64(text) == F.col("at_body")),
         "left",
     )
