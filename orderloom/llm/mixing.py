@@ -17,6 +17,8 @@ SEED = "mix-1"
 TEMPERATURE = 0.7
 #: Mean of one draw at most; a larger rate is the sum of several draws.
 DRAW_MEAN = 64.0
+#: Sources up to which their table, a distribution each, is broadcast.
+FEW_SOURCES = 5_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -61,19 +63,10 @@ def rates(docs: DataFrame, weights: DataFrame | None, total: float | None) -> Da
         )
     # Sums of whole numbers, so that the order of addition cannot show in the last bits.
     whole = F.round(F.col("weight") * 1e6).cast("decimal(38,0)")
-    sums = weighed.agg(
-        F.sum(whole).cast("double").alias("all_weight"), F.sum("n").cast("double").alias("all_n")
-    )
-    size = F.col("all_n") if total is None else F.lit(float(total))
-    return weighed.join(F.broadcast(sums)).select(
-        "source",
-        F.when(
-            F.col("all_weight") > 0,
-            whole.cast("double") / F.col("all_weight") * size / F.col("n"),
-        )
-        .otherwise(F.lit(0.0))
-        .alias("rate"),
-    )
+    all_weight, all_n = (float(x or 0) for x in weighed.agg(F.sum(whole), F.sum("n")).first())
+    size = all_n if total is None else float(total)
+    share = whole.cast("double") / F.lit(all_weight) if all_weight else F.lit(0.0)
+    return weighed.select("source", (share * F.lit(size) / F.col("n")).alias("rate"))
 
 
 def mixed(
@@ -96,7 +89,7 @@ def mixed(
         "rates",
     )
     key = F.coalesce(given["doc_id"].cast("string"), F.md5(F.coalesce(given["text"], F.lit(""))))
-    ranked = given.rows.join(few(table), given["source"].eqNullSafe(F.col("named")))
+    ranked = given.rows.join(few(table, FEW_SOURCES), given["source"].eqNullSafe(F.col("named")))
     drawn = F.aggregate(
         F.sequence(F.lit(1), F.col("draws")),
         F.lit(0),
