@@ -74,9 +74,10 @@ def keep_matching(rows: DataFrame, wanted: DataFrame, keys: list[str], spread_by
 
 
 def keep_matching_few(
-    rows: DataFrame, wanted: DataFrame, keys: list[str], spread_by: str
+    rows: DataFrame, wanted: DataFrame, keys: list[str], spread_by: str, most: int | None = None
 ) -> DataFrame:
     """The same for ``wanted`` that is usually short: broadcast when counted as such."""
-    if wanted.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
+    most = MAX_HOT_KEYS if most is None else most
+    if wanted.limit(most + 1).count() > most:
         return keep_matching(rows, wanted, keys, spread_by)
     return rows.join(F.broadcast(wanted.select(*keys)), keys, "left_semi")

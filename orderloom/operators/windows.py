@@ -4,26 +4,49 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions import timestamps
 from orderloom.schemas import OVERLAP_SECONDS, SETTLE_SECONDS
 
 MODES = ("full", "incremental", "backfill")
+NO_MARK = "the source has no published high-water mark to continue from"
+CLOCK_BEHIND = "the clock is behind the published high-water mark"
 
 
-def check_request(mode: str, start: str | None, end: str | None) -> None:
-    """Refuse an unknown mode and bounds that do not fit the mode."""
-    if mode not in MODES:
-        raise ValueError("mode must be full, incremental, or backfill")
-    if mode == "backfill":
-        if not start or not end:
-            raise ValueError("Backfill requires both start and end")
-        if timestamps.utc_argument(start, "start") >= timestamps.utc_argument(end, "end"):
-            raise ValueError("start must be earlier than end")
-    elif start or end:
-        raise ValueError("start and end are valid only for backfill")
+def bounds(
+    spark: SparkSession, mode: str, start: str | None, end: str | None
+) -> tuple[str | None, str | None]:
+    """The bounds of a request as bound texts, both null unless it is a backfill.
+
+    Raises one ``ValueError`` that lists all that is wrong with the request.
+    """
+    given = {"start": start, "end": end}
+    problems = [] if mode in MODES else [f"mode {mode!r} is none of {', '.join(MODES)}"]
+    if mode != "backfill":
+        problems += [f"{name} has no use in mode {mode}" for name, text in given.items() if text]
+        found = {}
+    else:
+        times = {name: timestamps.utc_timestamp(F.lit(text)) for name, text in given.items()}
+        row = spark.range(1).select(
+            *[
+                F.when(timestamps.is_utc(F.lit(given[name])), timestamps.bound_text(time)).alias(name)
+                for name, time in times.items()
+            ],
+            (times["start"] < times["end"]).alias("ordered"),
+        ).first()
+        found = {name: row[name] for name in given}
+        problems += [
+            f"{name} must be a time with UTC offset zero, not {given[name]!r}"
+            for name, text in found.items()
+            if text is None
+        ]
+        if not problems and not row["ordered"]:
+            problems.append(f"an empty range: {start} is not before {end}")
+    if problems:
+        raise ValueError("; ".join(problems))
+    return found.get("start"), found.get("end")
 
 
 def seconds(number: int) -> Column:
@@ -44,12 +67,11 @@ def plan_windows(
     ``[start, end)`` and never advances the mark. ``problem`` says why a window cannot
     be used and is null for a usable one.
     """
-    check_request(mode, start, end)
+    first, last = bounds(marks.sparkSession, mode, start, end)
     mark = timestamps.utc_timestamp(F.col("base_watermark"))
     none = F.lit(None).cast("string")
     if mode == "backfill":
-        lower = F.lit(timestamps.utc_argument(start, "start").isoformat())
-        upper = F.lit(timestamps.utc_argument(end, "end").isoformat())
+        lower, upper = F.lit(first), F.lit(last)
         problem = none
     else:
         upper_at = now - seconds(SETTLE_SECONDS)
@@ -59,9 +81,9 @@ def plan_windows(
             if mode == "incremental"
             else none
         )
-        problem = F.when(upper_at < mark, F.lit("Clock precedes committed source watermark"))
+        problem = F.when(upper_at < mark, F.lit(CLOCK_BEHIND))
         if mode == "incremental":
-            missing = F.lit("Publish an initial full extraction before incremental polling")
+            missing = F.lit(NO_MARK)
             problem = F.coalesce(F.when(mark.isNull(), missing), problem)
     backfill = mode == "backfill"
     return marks.select(

@@ -38,6 +38,7 @@ EXTRACTION = (
     "base_watermark string, range_semantics string, watermark_advance boolean>"
 )
 
+LANDING = "record bigint, raw string"
 RAW = "source_file string, line_number bigint, line_key bigint, raw string"
 ACCEPTED = (
     "line_key bigint, order_id string, order_number string, created_at timestamp_ntz, "
@@ -46,7 +47,7 @@ ACCEPTED = (
 )
 MANIFEST = (
     "snapshot_id string, extracted_at string, raw_fingerprint string, "
-    "accepted_fingerprint string, input_count bigint, accepted_count bigint, "
+    "outcomes_fingerprint string, input_count bigint, accepted_count bigint, "
     "rejected_count bigint, duplicate_count bigint, conflict_count bigint, "
     f"reject_rate double, quality_gate string, extraction {EXTRACTION}, "
     "duration_seconds double, contract_version string"

@@ -69,6 +69,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stored_meanwhile(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """As ``materialize``, for a table that nothing reads after the block; it is deleted then."""
+    stored = materialize(df, label)
+    try:
+        yield stored
+    finally:
+        discard(stored)
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete the files of a table that ``materialize`` wrote."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored.inputFiles()[0]).getParent()
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Shuffle rows ahead of CPU-heavy work only when the scan has too few tasks.
 

@@ -1,4 +1,4 @@
-"""Landed API pages: nodes and the page-chain check."""
+"""Landed API pages: nodes, and the check that a landing is complete."""
 
 from __future__ import annotations
 
@@ -35,39 +35,54 @@ def nodes(pages: DataFrame) -> DataFrame:
     )
 
 
-def chain(pages: DataFrame, *by: str) -> DataFrame:
-    """Cursor facts per extraction: pages, missing cursors and repeated cursors.
-
-    Every page that promises a next one must name a cursor never used before; the
-    chain ``advances`` when both counts are zero. Cursors are counted in two balanced
-    aggregates, never collected.
-    """
-    page = F.col("_page")
-    info = _parsed(pages).select(
+def _page_facts(pages: DataFrame, *by: str) -> DataFrame:
+    """What each page says: next page, cursor, and whether page and edges are whole."""
+    page, edge = F.col("_page"), "array<variant>"
+    edges = json_values.as_list(_connection(page, ".edges"))
+    more = F.try_variant_get(_connection(page, ".pageInfo.hasNextPage"), "$", "boolean")
+    whole = json_values.is_whole(page, F.col("page")) & edges.isNotNull() & more.isNotNull()
+    nodeless = F.filter(
+        F.coalesce(edges, F.array().cast(edge)),
+        lambda e: ~json_values.is_object(json_values.inside(e, "$.node")),
+    )
+    return _parsed(pages).select(
         *by,
-        F.coalesce(
-            F.try_variant_get(_connection(page, ".pageInfo.hasNextPage"), "$", "boolean"),
-            F.lit(False),
-        ).alias("_more"),
+        F.coalesce(more, F.lit(False)).alias("_more"),
         json_values.as_text(_connection(page, ".pageInfo.endCursor")).alias("_cursor"),
+        F.coalesce(whole, F.lit(False)).alias("_whole"),
+        F.size(nodeless).alias("_nodeless"),
     )
-    needed = F.when(F.col("_more"), F.nullif(F.col("_cursor"), F.lit("")))
+
+
+def chain(pages: DataFrame, *by: str) -> DataFrame:
+    """Facts on the page chain of each extraction, and whether the landing is ``complete``.
+
+    Exactly one page is the last one, every other names a cursor never used before, every page
+    is whole JSON with a list of edges and says whether more follow, and every edge has a node
+    object. Cursors are counted in two balanced aggregates, never collected.
+    """
+    more, needed = F.col("_more"), F.col("_needed")
     per_cursor = (
-        info.withColumn("_needed", needed)
+        _page_facts(pages, *by)
+        .withColumn("_needed", F.when(more, F.nullif(F.col("_cursor"), F.lit(""))))
         .groupBy(*by, "_needed", "_more")
-        .agg(F.count(F.lit(1)).alias("_pages"))
-    )
-    missing = F.col("_more") & F.col("_needed").isNull()
-    return (
-        per_cursor.groupBy(*by)
         .agg(
-            F.sum("_pages").alias("pages"),
-            F.sum(F.when(missing, F.col("_pages")).otherwise(0)).alias("missing_cursors"),
-            F.sum(F.when(F.col("_needed").isNotNull(), F.col("_pages") - 1).otherwise(0)).alias(
-                "repeated_cursors"
-            ),
-        )
-        .withColumn(
-            "advances", (F.col("missing_cursors") == 0) & (F.col("repeated_cursors") == 0)
+            F.count(F.lit(1)).alias("_pages"),
+            F.count_if(~F.col("_whole")).alias("_broken"),
+            F.count_if(F.col("_whole") & ~more).alias("_final"),
+            F.sum("_nodeless").alias("_nodeless"),
         )
     )
+    faults = ("missing_cursors", "repeated_cursors", "broken_pages", "missing_nodes")
+    counted = per_cursor.groupBy(*by).agg(
+        F.sum("_pages").alias("pages"),
+        F.sum("_final").alias("final_pages"),
+        F.sum(F.when(more & needed.isNull(), F.col("_pages")).otherwise(0)).alias(faults[0]),
+        F.sum(F.when(needed.isNotNull(), F.col("_pages") - 1).otherwise(0)).alias(faults[1]),
+        F.sum("_broken").alias(faults[2]),
+        F.sum("_nodeless").alias(faults[3]),
+    )
+    sound = F.col("final_pages") == 1
+    for fault in faults:
+        sound = sound & (F.col(fault) == 0)
+    return counted.withColumn("complete", sound)
