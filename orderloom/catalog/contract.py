@@ -41,6 +41,101 @@ def contract_reject_reasons(spark, folder):
     return judged.filter(F.col("error").isNotNull()).select("line_number", "error")
 
 
+# One edit of a valid document for each message, and the message.
+_PRICE = '{"gross":{"amount":"1.00","currency":"USD"}}'
+_DOCUMENT = (
+    '{"id":"KEY","number":"#KEY","created":"2024-01-02T03:04:05Z","updatedAt":"2024-01-02T04:00:00Z",'
+    '"status":"FULFILLED","channel":{"slug":"web","currencyCode":"USD"},"total":' + _PRICE + ',"lines":['
+    '{"id":"1","productName":"Pen","productSku":"P","quantity":2,"unitPrice":' + _PRICE
+    + ',"totalPrice":' + _PRICE + '},'
+    '{"id":"2","productName":"Ink","productSku":null,"quantity":1,"unitPrice":' + _PRICE
+    + ',"totalPrice":' + _PRICE + "}]}"
+)
+_LINES = _DOCUMENT[_DOCUMENT.index('"lines":') :]
+_FAULTS = (
+    ('{"id"', '{id"', "record must be valid JSON"),
+    (_DOCUMENT, "[1]", "record must be a JSON object"),
+    ('{"slug":"web","currencyCode":"USD"}', '"web"', "channel must be an object"),
+    (',"currencyCode":"USD"', "", "channel.currencyCode is required"),
+    ('Code":"USD"', 'Code":"US1"', "channel.currencyCode must be a three-letter currency"),
+    ('Code":"USD"', 'Code":"GBP"', "currency must be USD, EUR or PLN"),
+    (_LINES, '"lines":{"edges":"x"}}', "line connection must contain a list"),
+    (_LINES, '"lines":{"edges":[1]}}', "line must be an object"),
+    (_LINES, '"lines":[]}', "lines must contain at least one line"),
+    (_LINES, '"lines":[1]}', "lines[0] must be an object"),
+    ('"id":"1"', '"id":" "', "lines[0].id must be a nonempty string"),
+    ('"id":"2"', '"id":" 1 "', "line IDs must be unique strings"),
+    ('"quantity":2', '"quantity":2.0', "lines[0].quantity must be a positive integer"),
+    ('"Ink"', "null", "lines[1].productName must be a nonempty string"),
+    ('"productSku":"P"', '"productSku":""', "sku must be a nonempty string"),
+    ('"unitPrice":' + _PRICE, '"unitPrice":"x"', "unitPrice must be an object"),
+    ('"totalPrice":' + _PRICE, '"totalPrice":1', "totalPrice must be an object"),
+    ('"unitPrice":' + _PRICE, '"unitPrice":{"gross":"x"}', "lines[0].unitPrice.gross must be a money object"),
+    (
+        '"unitPrice":' + _PRICE,
+        '"unitPrice":{"gross":{"amount":1,"currency":"EUR"}}',
+        "lines[0].unitPrice.gross currency must match order currency",
+    ),
+    (
+        '"unitPrice":' + _PRICE,
+        '"unitPrice":{"gross":{"amount":"abc","currency":"USD"}}',
+        "lines[0].unitPrice.gross.amount must be numeric",
+    ),
+    ('"totalPrice":' + _PRICE, '"totalPrice":{}', "lines[0].totalPrice.gross must be a money object"),
+    (
+        '"totalPrice":' + _PRICE,
+        '"totalPrice":{"gross":{"amount":1,"currency":"usd"}}',
+        "lines[0].totalPrice.gross currency must match order currency",
+    ),
+    (
+        '"totalPrice":' + _PRICE,
+        '"totalPrice":{"gross":{"amount":-1,"currency":"USD"}}',
+        "lines[0].totalPrice.gross.amount must be numeric",
+    ),
+    ("2024-01-02T03:04:05Z", "yesterday", "created must be an ISO-8601 timestamp"),
+    ("2024-01-02T03:04:05Z", "2024-01-02T03:04:05", "created must include a timezone"),
+    ("2024-01-02T04:00:00Z", "2024-13-02T04:00:00Z", "updatedAt must be an ISO-8601 timestamp"),
+    ("2024-01-02T04:00:00Z", "2024-01-02", "updatedAt must include a timezone"),
+    ("2024-01-02T04:00:00Z", "2024-01-02T04:00:00+09:00", "updatedAt must not precede created"),
+    ('"status":"FULFILLED"', '"status":" "', "status must be a nonempty string"),
+    ('"status":"FULFILLED"', '"status":"fulfilled"', "unsupported order status"),
+    ('"id":"KEY"', '"id":7', "id must be a nonempty string"),
+    ('"number":"#KEY"', '"number":null', "number must be a nonempty string"),
+    ('"slug":"web"', '"slug":""', "channel.slug must be a nonempty string"),
+    ('"total":' + _PRICE, '"total":5', "total must be an object"),
+    ('"total":' + _PRICE, '"total":{"gross":[]}', "total.gross must be a money object"),
+    (
+        '"total":' + _PRICE,
+        '"total":{"gross":{"amount":1,"currency":"PLN"}}',
+        "total.gross currency must match order currency",
+    ),
+    (
+        '"total":' + _PRICE,
+        '"total":{"gross":{"amount":true,"currency":"USD"}}',
+        "total.gross.amount must be numeric",
+    ),
+)
+
+
+def _once(text, old, new):
+    """The text with the first occurrence replaced."""
+    assert old in text, old
+    return text.replace(old, new, 1)
+
+
+def contract_messages(spark, folder):
+    """What the contract says about a document for each of its messages, and about a good one."""
+    shape = F.lit(_DOCUMENT)
+    kind = F.col("o_orderkey") % (len(_FAULTS) + 1)
+    for number, (old, new, _) in enumerate(_FAULTS, 1):
+        shape = F.when(kind == number, F.lit(_once(_DOCUMENT, old, new))).otherwise(shape)
+    documents = star.table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("line_number"),
+        F.replace(shape, F.lit("KEY"), F.col("o_orderkey").cast("string")).alias("raw"),
+    )
+    return contract.judge(documents).select("line_number", "error", "order_id")
+
+
 def sorted_lines(spark, folder):
     """Line IDs of each accepted order in canonical order."""
     ids = F.array_join(F.col("lines")["line_id"], ",").alias("line_ids")
@@ -150,15 +245,14 @@ def repeated_line_positions(spark, folder):
 
 
 def line_sort_stability(spark, folder):
-    """Whether sorted lines are the same whatever order they arrived in."""
+    """The sorted lines of each version, which arrive in reverse."""
     versions = star.order_versions(spark, folder).withColumn(
-        "lines", F.col("lines").cast(f"array<{LINE}>")
+        "lines", F.sort_array(F.reverse(F.col("lines").cast(f"array<{LINE}>")))
     )
-    ascending = F.to_json(F.sort_array("lines"))
-    reversed_first = F.to_json(F.sort_array(F.reverse("lines")))
-    return versions.groupBy("snapshot_id").agg(
-        F.count(F.lit(1)).alias("versions"),
-        F.count_if(ascending == reversed_first).alias("stable"),
+    ids = F.transform("lines", lambda x: F.concat_ws(":", x["line_id"], x["quantity"], x["sku"]))
+    return versions.select(
+        "snapshot_id", "order_id", "updated_at", "payload_hash",
+        F.array_join(ids, ",").alias("sorted_lines"),
     )
 
 
@@ -166,6 +260,7 @@ QUERIES = {
     "contract_accepted_orders": contract_accepted_orders,
     "contract_accepted_lines": contract_accepted_lines,
     "contract_reject_reasons": contract_reject_reasons,
+    "contract_messages": contract_messages,
     "sorted_lines": sorted_lines,
     "line_sort_stability": line_sort_stability,
     "payload_hash": payload_hash,
@@ -189,6 +284,13 @@ SQL = {
     "contract_reject_reasons": with_views(
         views.RAW_ORDERS, "SELECT k + 1 AS line_number, error FROM raw_v WHERE error IS NOT NULL"
     ),
+    "contract_messages": f"""
+        SELECT o_orderkey AS line_number,
+          CASE o_orderkey % {len(_FAULTS) + 1} {" ".join(
+              f"WHEN {number} THEN '{message}'" for number, (_, _, message) in enumerate(_FAULTS, 1)
+          )} END AS error,
+          CASE WHEN o_orderkey % {len(_FAULTS) + 1} = 0 THEN CAST(o_orderkey AS VARCHAR) END AS order_id
+        FROM orders""",
     "sorted_lines": with_views(
         views.RAW_ORDERS,
         """
@@ -196,8 +298,12 @@ SQL = {
         FROM raw_lines_v GROUP BY 1""",
     ),
     "line_sort_stability": with_views(
-        views.VERSIONS,
-        "SELECT snapshot_id, count(*) AS versions, count(*) AS stable FROM versions_v GROUP BY 1",
+        views.VERSION_LINES,
+        """
+        SELECT v.snapshot_id, v.order_id, v.updated_at, v.payload_hash,
+          string_agg(concat_ws(':', line_id, quantity, sku), ',' ORDER BY line_id) AS sorted_lines
+        FROM versions_v v JOIN version_lines_v l ON v.event_id = l.event_id
+        GROUP BY v.event_id, 1, 2, 3, 4""",
     ),
     "payload_hash": with_views(
         views.ORDERS,

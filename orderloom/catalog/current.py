@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from orderloom.catalog import views
 from orderloom.catalog.views import with_views
 from orderloom.operators import history, metrics, quality
+from orderloom.session import materialize
 from orderloom.sources import star_tables as star
 
 
@@ -85,10 +86,15 @@ def removed_lines(spark, folder):
 
 def late_versions(spark, folder):
     """Versions that came in a later snapshot than the current one but are older."""
-    current = current_orders(spark, folder).select(
-        "order_id",
-        F.col("snapshot_id").alias("current_snapshot"),
-        F.col("updated_at").alias("current_updated_at"),
+    # Stored, so that the join has an exchange on each side and the runtime can split an order
+    # with very many versions.
+    current = materialize(
+        current_orders(spark, folder).select(
+            "order_id",
+            F.col("snapshot_id").alias("current_snapshot"),
+            F.col("updated_at").alias("current_updated_at"),
+        ),
+        "current-versions",
     )
     versions = star.order_versions(spark, folder).select("order_id", "snapshot_id", "updated_at")
     late = versions.groupBy("order_id", "snapshot_id", "updated_at").agg(

@@ -71,7 +71,8 @@ def _pages(spark, folder):
     """One landed page per event; the pages of a user are one extraction."""
     edges = F.expr(
         """array_join(transform(slice(sequence(0, 2), 1, cast(event_id % 4 as int)),
-        j -> concat('{"node":{"id":"', event_id, '-', j, '"}}')), ',')"""
+        j -> if(event_id % 53 = 9 and j = 1, '{"cursor":"x"}',
+          concat('{"node":{"id":"', event_id, '-', j, '"}}'))), ',')"""
     )
     cursor = F.expr(
         """case when event_id % 50 = 7 then 'null' when event_id % 20 = 3 then '"same"'
@@ -85,6 +86,8 @@ def _pages(spark, folder):
     wrapped = F.when(
         F.col("event_id") % 2 == 0, F.concat(F.lit('{"orders":'), page, F.lit("}"))
     ).otherwise(page)
+    cut_off = F.substring(wrapped, 1, F.length(wrapped) - 1)
+    wrapped = F.when(F.col("event_id") % 61 == 5, cut_off).otherwise(wrapped)
     return star.table(spark, folder, "events").select("event_id", "user_id", wrapped.alias("page"))
 
 
@@ -326,9 +329,9 @@ SQL = {
             "incremental",
             "2024-01-30T23:49:55+00:00",
             _iso("(mark_at - INTERVAL 5 MINUTE)"),
-            "CASE WHEN mark_at IS NULL THEN 'Publish an initial full extraction before incremental "
-            "polling' WHEN mark_at > TIMESTAMP '2024-01-30 23:49:55' "
-            "THEN 'Clock precedes committed source watermark' END",
+            f"CASE WHEN mark_at IS NULL THEN '{windows.NO_MARK}' "
+            "WHEN mark_at > TIMESTAMP '2024-01-30 23:49:55' "
+            f"THEN '{windows.CLOCK_BEHIND}' END",
         ),
     ),
     "window_backfill": with_views(
@@ -345,17 +348,24 @@ SQL = {
           AND o_orderdate < TIMESTAMP '1996-04-01'""",
     "source_update_order": "SELECT event_id, ts, user_id FROM events ORDER BY ts, event_id",
     "page_nodes": """
-        SELECT event_id, CAST(j AS INTEGER) AS position, '{"id":"' || event_id || '-' || j || '"}' AS raw
-        FROM events, (VALUES (0), (1), (2)) AS n(j) WHERE j < event_id % 4""",
+        SELECT event_id, CAST(j AS INTEGER) AS position, CASE WHEN event_id % 53 <> 9 OR j <> 1
+          THEN '{"id":"' || event_id || '-' || j || '"}' END AS raw
+        FROM events, (VALUES (0), (1), (2)) AS n(j) WHERE j < event_id % 4 AND event_id % 61 <> 5""",
     "page_chain": """
         WITH needed_v AS (
-          SELECT user_id, event_id % 4 <> 0 AS more, CASE WHEN event_id % 4 = 0 THEN NULL
-            WHEN event_id % 50 = 7 THEN NULL WHEN event_id % 20 = 3 THEN 'same'
-            ELSE 'c' || event_id END AS cursor FROM events),
+          SELECT user_id, event_id % 61 = 5 AS broken, event_id % 4 <> 0 AND NOT broken AS more,
+            event_id % 53 = 9 AND event_id % 4 >= 2 AND NOT broken AS nodeless,
+            CASE WHEN NOT more THEN NULL
+              WHEN event_id % 50 = 7 THEN NULL WHEN event_id % 20 = 3 THEN 'same'
+              ELSE 'c' || event_id END AS cursor FROM events),
         facts_v AS (
-          SELECT user_id, count(*) AS pages, count(*) FILTER (more AND cursor IS NULL) AS missing_cursors,
-            count(cursor) - count(DISTINCT cursor) AS repeated_cursors FROM needed_v GROUP BY 1)
-        SELECT *, missing_cursors = 0 AND repeated_cursors = 0 AS advances FROM facts_v""",
+          SELECT user_id, count(*) AS pages, count(*) FILTER (NOT more AND NOT broken) AS final_pages,
+            count(*) FILTER (more AND cursor IS NULL) AS missing_cursors,
+            count(cursor) - count(DISTINCT cursor) AS repeated_cursors,
+            count(*) FILTER (broken) AS broken_pages, count(*) FILTER (nodeless) AS missing_nodes
+          FROM needed_v GROUP BY 1)
+        SELECT *, final_pages = 1 AND missing_cursors = 0 AND repeated_cursors = 0
+          AND broken_pages = 0 AND missing_nodes = 0 AS complete FROM facts_v""",
     "high_water_marks": with_views(
         views.INVENTORY,
         f"""

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from orderloom.catalog import current, views
 from orderloom.catalog.inventory import _clock, _iso, _pointer
 from orderloom.catalog.views import with_views
@@ -23,10 +28,23 @@ def report_headline(spark, folder):
     return report.headline(_daily(spark, folder))
 
 
-def report_empty_selection(spark, folder):
-    """No channel selects nothing; the headline is zero."""
+_SELECTIONS = {
+    "all of a currency": ("EUR", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]),
+    "one channel": ("PLN", ["FURNITURE"]),
+    "some days": ("USD", ["BUILDING"], "1997-01-01", "1997-01-31"),
+    "no channel": ("USD", []),
+    "unknown currency": ("GBP", ["BUILDING"]),
+}
+
+
+def report_selections(spark, folder):
+    """Headlines of several selections, empty ones among them."""
     daily = current.daily_order_metrics(spark, folder)
-    return report.headline(report.selected(daily, "USD", []))
+    parts = [
+        report.headline(report.selected(daily, *chosen)).withColumn("selection", F.lit(name))
+        for name, chosen in _SELECTIONS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def report_trend(spark, folder):
@@ -52,7 +70,7 @@ def report_quality(spark, folder):
 
 QUERIES = {
     "report_headline": report_headline,
-    "report_empty_selection": report_empty_selection,
+    "report_selections": report_selections,
     "report_trend": report_trend,
     "report_top_products": report_top_products,
     "report_options": report_options,
@@ -72,12 +90,23 @@ SQL = {
           format('{{:,.2f}}', CAST(sum(gross_amount) AS DOUBLE)) AS gross_text
         FROM daily_v {_WHERE}""",
     ),
-    "report_empty_selection": with_views(
+    "report_selections": with_views(
         views.DAILY,
-        """
-        SELECT CAST(coalesce(sum(order_count), 0) AS BIGINT) AS order_count,
+        " UNION ALL ".join(
+            f"""
+        SELECT '{name}' AS selection, CAST(coalesce(sum(order_count), 0) AS BIGINT) AS order_count,
           CAST(coalesce(sum(gross_amount), 0) AS DECIMAL(38,2)) AS gross_amount,
-          '0.00' AS gross_text FROM daily_v WHERE currency = 'USD' AND channel IN (NULL)""",
+          format('{{:,.2f}}', CAST(coalesce(sum(gross_amount), 0) AS DOUBLE)) AS gross_text
+        FROM daily_v WHERE {condition}"""
+            for name, condition in {
+                "all of a currency": "currency = 'EUR'",
+                "one channel": "currency = 'PLN' AND channel = 'FURNITURE'",
+                "some days": "currency = 'USD' AND channel = 'BUILDING' AND order_date >= "
+                "DATE '1997-01-01' AND order_date <= DATE '1997-01-31'",
+                "no channel": "false",
+                "unknown currency": "currency = 'GBP'",
+            }.items()
+        ),
     ),
     "report_trend": with_views(views.DAILY, f"SELECT * FROM daily_v {_WHERE}"),
     "report_top_products": with_views(
