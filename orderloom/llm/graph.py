@@ -11,7 +11,7 @@ from orderloom.llm.work import discard, stage
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``: the smallest node it reaches.
 
-    Alternates two steps until nothing changes: each node hands its larger neighbours to its
+    Alternates two steps until only stars are left: each node hands its larger neighbours to its
     smallest one (large star), then its smaller neighbours (small star). Every step is a join
     with one row per node, staged so that the runtime can split a hub's rows. Loops and
     repeated edges are ignored; null ends are dropped; no edges give no rows.
@@ -22,8 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
         .distinct(),
         "edges",
     )
-    before = signature(current)
-    while before[0]:
+    while not is_stars(current):
         both = current.select(F.col("u").alias("n"), F.col("v").alias("m")).union(
             current.select(F.col("v").alias("n"), F.col("u").alias("m"))
         )
@@ -44,17 +43,18 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("low").alias("v"))
         )
         following = stage(small.union(least.select("u", F.col("low").alias("v"))).distinct(), "edges")
-        after = signature(following)
         for used in (current, lows, large, least):
             discard(used)
         current = following
-        if after == before:
-            break
-        before = after
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
 
 
-def signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def is_stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges(u, v)`` either points to one centre or is one."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(
+        edges.select(F.col("v").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    nodes = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return nodes.filter("out > 1 or (out = 1 and into = 1)").isEmpty()
