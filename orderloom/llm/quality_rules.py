@@ -9,7 +9,7 @@ end of their text. Doubling ends beyond ``longest`` words, as a longer repeat fa
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ COVERED_PERCENT = 20
 #: Words of the longest repeat that a text may hold.
 LONGEST = 200
 #: Words whose suffixes are sorted together; a longer text is sorted by itself.
-BATCH_WORDS = 400_000
+BATCH_WORDS = 200_000
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -88,7 +88,7 @@ def repeats(symbols: np.ndarray, window: int, longest: int) -> np.ndarray:
     return found
 
 
-def measure(texts: list[str], window: int, longest: int) -> list[tuple[int, ...]]:
+def measure(texts: Iterable[str], window: int, longest: int) -> list[tuple[int, ...]]:
     """The measures of each text, in the order of ``MEASURES``."""
     rows, batch, size = [], [], 0
 
@@ -141,7 +141,7 @@ def with_measures(docs: DataFrame, window: int = WINDOW, longest: int = LONGEST)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(text_at).to_pylist()]
+            texts = (text.as_py() or "" for text in batch.column(text_at))
             columns = list(zip(*measure(texts, window, longest), strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(c, pa.int64()) for c in columns]],
