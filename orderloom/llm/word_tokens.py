@@ -18,6 +18,7 @@ LONG_WORD = 100
 #: Words of these characters are composed and lower-cased alike by Python and the tokenizer.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
 ENDING = b"\xff"
+ENDS = frozenset(".,;:!?")
 
 
 class WordIds(dict):
@@ -31,7 +32,8 @@ class WordIds(dict):
         self.special = [t["content"] for t in settings["added_tokens"]]
         pieces = settings["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = regex.compile(pieces).findall
-        self.merge, self.ids = merging(settings["model"], pieces)
+        self.merge, ids = merging(settings["model"], pieces)
+        self.octets = [number.tobytes() for number in ids]
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -40,13 +42,22 @@ class WordIds(dict):
     def __missing__(self, word: str) -> bytes:
         if len(word) > LONG_WORD:
             return self.whole(word)
-        if not PLAIN(word) or any(s in word for s in self.special):
+        if not PLAIN(word) or ("<" in word and any(s in word for s in self.special)):
             found = self.whole(word)
+        elif (low := word.lower()) != word:
+            found = self[low]
+        elif word[-1] in ENDS and word[:-1].isalpha():
+            # Letters and marks are never merged, so the parts may be known already.
+            found = self[word[:-1]] + self[word[-1]]
         else:
-            merged: list[int] = []
-            for piece in self.pieces(word.lower()):
-                merged += self.merge(piece.encode() + ENDING)
-            found = self.ids[merged].tobytes()
+            octets = self.octets
+            found = b"".join(
+                [
+                    octets[rank]
+                    for piece in ((word,) if word.isalpha() else self.pieces(word))
+                    for rank in self.merge(piece.encode() + ENDING)
+                ]
+            )
         if len(self) >= KNOWN_WORDS:
             self.clear()
         self[word] = found
