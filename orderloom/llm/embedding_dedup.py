@@ -3,7 +3,9 @@
 Each vector keeps a short list of its nearest neighbours of the same label. The lists start from
 random-projection trees and improve by joins of neighbours with neighbours of neighbours, until
 hardly any list changes. A list that is full of links is saturated: its vector may have more, so
-the list is enlarged to the whole connected component, whose pairs are counted tile by tile. The
+the list is enlarged to the whole connected component, whose pairs are counted tile by tile. Lists
+of two vectors can both be full of nearer ones, so components with saturated lists are compared
+with each other first, except where their balls are too far apart for any link. The
 links that brute force finds for a sample of vectors audit the recall; more trees join while it is
 short. All cosines are taken in double precision from the vectors as given.
 """
@@ -36,6 +38,10 @@ MAX_ROUNDS = 6
 FEW_NEW = 0.002
 #: Vectors of a tile's side.
 TILE = 256
+#: Balls that are compared with as many others at once.
+BALLS = 1024
+#: What is added to an angle for rounding.
+SLACK = 1e-6
 #: Vectors whose links brute force checks, about, the recall asked for, and attempts.
 AUDITED = 512
 RECALL = 0.995
@@ -343,6 +349,139 @@ def tile_counts(members: DataFrame, kind: str, cosine: float) -> DataFrame:
     return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
+def cross_links(members: DataFrame, kind: str, cosine: float) -> DataFrame:
+    """(a, b): links between the components of ``members(component, node, family, vec)``, one or
+    more for each two components that are linked.
+
+    Components are dealt into pieces, each inside a ball around its mean direction. By the
+    triangle inequality of angles, pieces whose balls are further apart than the angle of
+    ``cosine`` have no link; all others are compared vector by vector, one tile a pair of pieces.
+    """
+    sizes = stage(members.groupBy("component").agg(F.count("*").alias("n")), "dense-sizes")
+    pieces = stage(
+        members.join(few(sizes), "component").select(
+            "family",
+            "component",
+            F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / TILE)).alias("share"),
+            "node",
+            "vec",
+        ),
+        "pieces",
+    )
+    keys = ["family", "component", "share"]
+
+    def ball(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in groups_of(batches, *keys):
+            centres, radii = [], []
+            for a, b in zip(starts[:-1], starts[1:], strict=True) if len(starts) > 1 else []:
+                own = units(table.column("vec").slice(a, b - a), kind)
+                centre = own.sum(axis=0)
+                if not centre.any():
+                    centre = own[0]
+                centre = centre / np.sqrt(centre @ centre)
+                centres.append(centre.tobytes())
+                radii.append(float(np.arccos(np.clip(own @ centre, -1, 1)).max()))
+            first = pa.array(starts[:-1]) if len(starts) > 1 else pa.array([], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[table.column(k).take(first).combine_chunks() for k in keys],
+                    pa.array(centres, pa.binary()),
+                    pa.array(radii, pa.float64()),
+                ],
+                names=[*keys, "centre", "radius"],
+            )
+
+    balls = stage(
+        pieces.repartition(*keys)
+        .sortWithinPartitions(*keys)
+        .mapInArrow(
+            ball, "family string, component long, share long, centre binary, radius double"
+        ),
+        "balls",
+    )
+    blocks = F.ceil(F.col("n") / BALLS)
+    spread = stage(balls.groupBy("family").agg(F.count("*").alias("n")), "ball-counts")
+    dealt = balls.join(few(spread), "family").withColumn(
+        "block", F.pmod(F.xxhash64("component", "share"), blocks)
+    )
+    side = ["family", "low", "high"]
+    sides = dealt.withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    ).select(
+        "family",
+        F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"),
+        "block",
+        "component",
+        "share",
+        "centre",
+        "radius",
+    )
+    reach = float(np.arccos(min(1.0, max(-1.0, cosine)))) + SLACK
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in groups_of(batches, *side):
+            component, share = (table.column(c).to_numpy() for c in ("component", "share"))
+            block, radius = (table.column(c).to_numpy() for c in ("block", "radius"))
+            low, high = (table.column(c).to_numpy() for c in ("low", "high"))
+            for a, b in zip(starts[:-1], starts[1:], strict=True) if len(starts) > 1 else []:
+                centres = np.frombuffer(
+                    b"".join(table.column("centre").slice(a, b - a).to_pylist()), np.float64
+                ).reshape(b - a, -1)
+                angles = np.arccos(np.clip(centres @ centres.T, -1, 1))
+                near = angles <= radius[a:b, None] + radius[None, a:b] + reach
+                near &= component[a:b, None] < component[None, a:b]
+                if low[a] != high[a]:
+                    near &= block[a:b, None] != block[None, a:b]
+                x, y = np.nonzero(near)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column[a + i]) for i in (x, y) for column in (component, share)],
+                    names=["c1", "s1", "c2", "s2"],
+                )
+
+    pairs = stage(
+        sides.repartition(*side)
+        .sortWithinPartitions(*side)
+        .mapInArrow(close, "c1 long, s1 long, c2 long, s2 long"),
+        "close-balls",
+    )
+    tile = ["c1", "s1", "c2", "s2"]
+    own = pieces.select("component", "share", "node", "vec")
+    rows = pairs.join(
+        own.select(F.col("component").alias("c1"), F.col("share").alias("s1"), "node", "vec"),
+        ["c1", "s1"],
+    ).select(*tile, F.lit(True).alias("left"), "node", "vec").union(
+        pairs.join(
+            own.select(F.col("component").alias("c2"), F.col("share").alias("s2"), "node", "vec"),
+            ["c2", "s2"],
+        ).select(*tile, F.lit(False).alias("left"), "node", "vec")
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts in groups_of(batches, *tile):
+            nodes = table.column("node").to_numpy()
+            left = table.column("left").to_numpy()
+            out: list[tuple[int, int]] = []
+            for a, b in zip(starts[:-1], starts[1:], strict=True) if len(starts) > 1 else []:
+                vectors = units(table.column("vec").slice(a, b - a), kind)
+                one, two = left[a:b], ~left[a:b]
+                cosines = vectors[one] @ vectors[two].T
+                if cosines.size and cosines.max() >= cosine:
+                    x, y = np.unravel_index(int(cosines.argmax()), cosines.shape)
+                    out.append((int(nodes[a:b][one][x]), int(nodes[a:b][two][y])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"]
+            )
+
+    found = stage(
+        rows.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(compare, "a long, b long"),
+        "cross-links",
+    )
+    for used in (pieces, balls, pairs):
+        discard(used)
+    return found
+
+
 def link_counts(
     lists: DataFrame, classes: DataFrame, kind: str, neighbours: int, cosine: float
 ) -> tuple[DataFrame, DataFrame]:
@@ -355,11 +494,29 @@ def link_counts(
         "links",
     )
     found = stage(components(edges), "vector-components")
-    saturated = linked.groupBy("u").count().filter(F.col("count") >= neighbours)
-    dense = stage(
-        found.join(saturated, F.col("node") == F.col("u"), "left_semi").select("component").distinct(),
-        "dense-components",
+    saturated = stage(
+        linked.groupBy("u").count().filter(F.col("count") >= neighbours).select("u"), "saturated"
+    )
+
+    def with_saturated() -> DataFrame:
+        return stage(
+            found.join(saturated, F.col("node") == F.col("u"), "left_semi")
+            .select("component")
+            .distinct(),
+            "dense-components",
+        )
+
+    dense = with_saturated()
+    across = cross_links(
+        found.join(few(dense), "component", "left_semi").join(
+            classes.select("node", "family", "vec"), "node"
+        ),
+        kind,
+        cosine,
     )
+    if not across.isEmpty():
+        found = stage(components(edges.union(across)), "vector-components")
+        dense = with_saturated()
     inside = found.join(few(dense), "component", "left_semi")
     outside = found.join(few(dense), "component", "left_anti")
     sizes = classes.select("node", "size")

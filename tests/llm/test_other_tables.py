@@ -187,6 +187,18 @@ def test_dense_groups_chains_and_copies(spark):
     assert check_embeddings(spark, rows)[-1] >= embedding_dedup.RECALL
 
 
+def test_links_between_two_tight_groups(spark):
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=32).tolist(), 1) for k in range(60)]
+    for across in (0.985, 0.975):  # just above the limit, and just below it
+        one, two = np.linalg.qr(rng.normal(size=(32, 2)))[0].T
+        for centre in (one, across * one + np.sqrt(1 - across**2) * two):
+            for _ in range(10):
+                rows.append((len(rows), (centre + 0.001 * rng.normal(size=32)).tolist(), 1))
+    assert sorted({n for _, n, _, _ in brute_links(rows)}) == [0, 9, 19]
+    check_embeddings(spark, rows)
+
+
 def test_odd_vectors(spark):
     one, nan, inf = [1.0, 0.0, 0.5], float("nan"), float("inf")
     rows = [
