@@ -2,18 +2,20 @@
 
 Each vector keeps a short list of its nearest neighbours of the same label. The lists start from
 random-projection trees and improve by joins of neighbours with neighbours of neighbours, until
-hardly any list changes. A list that is full of links is saturated: its vector may have more, so
+no list changes. A list that is full of links is saturated: its vector may have more, so
 the list is enlarged to the whole connected component, whose pairs are counted tile by tile. Lists
 of two vectors can both be full of nearer ones, so components with saturated lists are compared
 with each other first, except where their balls are too far apart for any link. The
-links that brute force finds for a sample of vectors audit the recall; more trees join while it is
-short. All cosines are taken in double precision from the vectors as given.
+links that brute force finds for samples of vectors audit the recall, vector by vector; more trees
+join while it is short, and if it stays short all pairs of a family are compared. All cosines are taken in double precision from the vectors as given.
 """
 
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +31,19 @@ COSINE = 0.98
 NEIGHBOURS = 8
 #: Trees at the start, and how many join after an audit that falls short.
 TREES = 8
-#: Vectors of a tree's leaf, about; a leaf of more than twice as many is dealt out at random.
+#: Vectors of a tree's leaf, about; a leaf of more than twice as many is split again around its mean.
 LEAF = 64
+#: Splits of a crowded leaf at most; what no projection parts by then is dealt out at random.
+SPLITS = 4
 #: Members that meet at one vector at once; more reverse neighbours meet in several groups.
 MEETING = 64
-MAX_ROUNDS = 6
-#: The descent ends when a smaller share of all list entries is new.
-FEW_NEW = 0.002
 #: Vectors of a tile's side.
 TILE = 256
 #: Balls that are compared with as many others at once.
 BALLS = 1024
 #: What is added to an angle for rounding.
 SLACK = 1e-6
-#: Vectors whose links brute force checks, about, the recall asked for, and attempts.
+#: Vectors of each kind whose links brute force checks, about, the recall asked for, and attempts.
 AUDITED = 512
 RECALL = 0.995
 ATTEMPTS = 3
@@ -135,7 +136,7 @@ def classes_of(rows: DataFrame) -> tuple[DataFrame, str]:
 def from_leaves(classes: DataFrame, kind: str, first: int, trees: int, neighbours: int) -> DataFrame:
     """Pairs (u, v, cosine): the nearest neighbours within the leaves of some random-projection
     trees, numbered from ``first``. A tree's leaf is the signs of projections, as many as the
-    family's size asks for."""
+    family's size asks for; crowded leaves are split by further projections around their mean."""
     sizes = stage(classes.groupBy("family").agg(F.count("*").alias("n")), "family-sizes")
     depth = F.least(F.greatest(F.ceil(F.log2(F.col("n") / LEAF)), F.lit(0)), F.lit(30)).cast("int")
     rows = classes.join(few(sizes.select("family", depth.alias("depth"))), "family").select(
@@ -168,14 +169,14 @@ def from_leaves(classes: DataFrame, kind: str, first: int, trees: int, neighbour
                     )
 
     leaves = stage(rows.mapInArrow(signs, "node long, family string, tree int, leaf long"), "leaves")
-    crowded = stage(
-        leaves.groupBy("family", "tree", "leaf")
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > 2 * LEAF)
-        .withColumn("shares", F.ceil(F.col("n") / LEAF))
-        .drop("n"),
-        "crowded-leaves",
-    )
+    for turn in range(SPLITS):
+        crowded = crowded_leaves(leaves)
+        if crowded.isEmpty():
+            break
+        following = split_leaves(leaves, crowded, classes, kind, turn)
+        discard(leaves)
+        leaves = following
+    crowded = crowded_leaves(leaves).withColumn("shares", F.ceil(F.col("n") / LEAF)).drop("n")
     share = F.pmod(F.xxhash64("node", "tree"), F.coalesce("shares", F.lit(1)))
     dealt = (
         leaves.join(few(crowded), ["family", "tree", "leaf"], "left")
@@ -206,6 +207,91 @@ def from_leaves(classes: DataFrame, kind: str, first: int, trees: int, neighbour
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(nearest, PAIRS)
 
 
+def crowded_leaves(leaves: DataFrame) -> DataFrame:
+    return stage(
+        leaves.groupBy("family", "tree", "leaf")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") > 2 * LEAF),
+        "crowded-leaves",
+    )
+
+
+def split_leaves(
+    leaves: DataFrame, crowded: DataFrame, classes: DataFrame, kind: str, turn: int
+) -> DataFrame:
+    """``leaves`` where each crowded one is parted by the signs of projections around its mean."""
+    keys = ["family", "tree", "leaf"]
+    rows = stage(
+        leaves.join(few(crowded), keys).join(classes.select("node", "vec"), "node"), "crowded"
+    )
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch]).sort_by([(k, "ascending") for k in keys])
+            starts = changes(table, tuple(keys))
+            total = [
+                units(table.column("vec").slice(a, b - a), kind).sum(axis=0).tolist()
+                for a, b in zip(starts, [*starts[1:], table.num_rows], strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[table.column(k).take(pa.array(starts)).combine_chunks() for k in keys],
+                    pa.array(total, pa.list_(pa.float64())),
+                ],
+                names=[*keys, "total"],
+            )
+
+    parts = rows.select(*keys, "vec").mapInArrow(
+        sums, "family string, tree int, leaf long, total array<double>"
+    )
+    means = stage(
+        parts.select(*keys, F.posexplode("total").alias("at", "x"))
+        .groupBy(*keys, "at")
+        .agg(F.sum("x").alias("x"))
+        .groupBy(*keys)
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda p: p["x"]).alias("total")),
+        "leaf-means",
+    )
+
+    def signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            trees, sizes = table.column("tree").to_numpy(), table.column("n").to_numpy()
+            lengths = np.array([len(v) for v in table.column("vec").to_pylist()])
+            code = np.zeros(len(lengths), np.int64)
+            for length, tree in {*zip(lengths.tolist(), trees.tolist(), strict=True)}:
+                at = np.flatnonzero((lengths == length) & (trees == tree))
+                part = table.take(pa.array(at))
+                vectors = units(part.column("vec"), kind)
+                where = (vectors.shape[1], tree)
+                if where not in planes:
+                    rng = np.random.default_rng([SEED, *where, turn + 1])
+                    planes[where] = rng.standard_normal((vectors.shape[1], 30))
+                mean = np.array(part.column("total").to_pylist()) / sizes[at, None]
+                bits = np.clip(np.ceil(np.log2(sizes[at] / LEAF)), 1, 30).astype(np.int64)
+                signs = ((vectors - mean) @ planes[where] > 0) @ (1 << np.arange(30, dtype=np.int64))
+                code[at] = signs & ((1 << bits) - 1)
+            yield pa.RecordBatch.from_arrays(
+                [*[table.column(k).combine_chunks() for k in ("node", *keys)], pa.array(code)],
+                names=["node", *keys, "code"],
+            )
+
+    coded = rows.join(few(means, 2000), keys).select("node", *keys, "n", "vec", "total").mapInArrow(
+        signs, "node long, family string, tree int, leaf long, code long"
+    )
+    out = stage(
+        leaves.join(few(crowded.drop("n")), keys, "left_anti")
+        .select("node", *keys)
+        .union(coded.select("node", "family", "tree", F.xxhash64("leaf", "code").alias("leaf"))),
+        "leaves",
+    )
+    discard(rows)
+    return out
+
+
 def pairs_batch(parts: list[np.ndarray]) -> pa.RecordBatch:
     """Pairs whose cosines are held as the bits of integers beside the nodes."""
     u, v, bits = np.concatenate([p.astype(np.int64) for p in parts], axis=1)
@@ -287,9 +373,8 @@ def neighbour_lists(
     if start is not None:
         pairs = pairs.union(start.withColumn("fresh", F.lit(False)))
     lists = stage(best_lists(pairs, neighbours), "lists")
-    for turn in range(MAX_ROUNDS):
-        total, new = lists.agg(F.count("*"), F.count_if("fresh")).first()
-        if new <= FEW_NEW * total:
+    for turn in count():
+        if lists.filter("fresh").isEmpty():
             break
         found = met(lists, classes, kind, neighbours, turn).withColumn("fresh", F.lit(True))
         following = stage(
@@ -302,8 +387,29 @@ def neighbour_lists(
 
 def tile_counts(members: DataFrame, kind: str, cosine: float) -> DataFrame:
     """(node, linked): the sizes of all classes that each node of ``members(component, node, size,
-    vec)`` is linked with in its component. Every pair of blocks is one tile; tiles give counts,
-    no pairs."""
+    vec)`` is linked with in its component."""
+    return tiled(members, kind, cosine).groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
+def forest(links: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix, the row it is reached from; its own for a first one."""
+    reached_from = np.full(len(links), -1)
+    for first in range(len(links)):
+        if reached_from[first] >= 0:
+            continue
+        reached_from[first], todo = first, [first]
+        while todo:
+            at = todo.pop()
+            new = np.flatnonzero(links[at] & (reached_from < 0))
+            reached_from[new] = at
+            todo += new.tolist()
+    return reached_from
+
+
+def tiled(members: DataFrame, kind: str, cosine: float) -> DataFrame:
+    """(node, linked, other) for each node and tile: the sizes of the classes it is linked with,
+    and one of them, such that these links connect all that the tile's links connect. Every pair
+    of blocks is one tile; tiles give a row a node, no pairs."""
     blocks = F.ceil(F.col("n") / TILE)
     sizes = stage(members.groupBy("component").agg(F.count("*").alias("n")), "component-sizes")
     dealt = members.join(few(sizes), "component").withColumn(
@@ -331,7 +437,9 @@ def tile_counts(members: DataFrame, kind: str, cosine: float) -> DataFrame:
         for table, starts in groups_of(batches, *keys):
             block, low = (table.column(c).to_numpy() for c in ("block", "low"))
             high, size = (table.column(c).to_numpy() for c in ("high", "size"))
+            nodes = table.column("node").to_numpy()
             linked = np.zeros(table.num_rows, np.int64)
+            other = np.zeros(table.num_rows, np.int64)
             for a, b in zip(starts[:-1], starts[1:], strict=True):
                 own = units(table.column("vec").slice(a, b - a), kind)
                 links = own @ own.T >= cosine
@@ -339,14 +447,25 @@ def tile_counts(members: DataFrame, kind: str, cosine: float) -> DataFrame:
                 if low[a] != high[a]:
                     links &= block[a:b, None] != block[None, a:b]
                 linked[a:b] = links @ size[a:b]
+                other[a:b] = nodes[a:b][forest(links)]
             yield pa.RecordBatch.from_arrays(
-                [table.column("node").combine_chunks(), pa.array(linked)], names=["node", "linked"]
+                [pa.array(nodes), pa.array(linked), pa.array(other)],
+                names=["node", "linked", "other"],
             )
 
-    counted = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-        count, "node long, linked long"
+    return tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
+        count, "node long, linked long, other long"
     )
-    return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
+def all_links(classes: DataFrame, kind: str, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """What ``link_counts`` gives, from all pairs of each family, in tiles."""
+    members = classes.select(F.col("family").alias("component"), "node", "size", "vec")
+    rows = stage(tiled(members, kind, cosine), "all-tiles")
+    edges = rows.filter("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    found = stage(components(edges.distinct()), "vector-components")
+    counted = rows.groupBy("node").agg(F.sum("linked").alias("linked")).filter("linked > 0")
+    return stage(counted, "link-counts"), found
 
 
 def cross_links(members: DataFrame, kind: str, cosine: float) -> DataFrame:
@@ -484,8 +603,9 @@ def cross_links(members: DataFrame, kind: str, cosine: float) -> DataFrame:
 
 def link_counts(
     lists: DataFrame, classes: DataFrame, kind: str, neighbours: int, cosine: float
-) -> tuple[DataFrame, DataFrame]:
-    """(node, linked) of nodes with links, and (node, component) of the same nodes."""
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(node, linked) of nodes with links, (node, component) of the same nodes, and (component) of
+    those with a full list."""
     linked = lists.filter(F.col("cosine") >= cosine)
     edges = stage(
         linked.select(F.col("u").alias("a"), F.col("v").alias("b"))
@@ -529,18 +649,45 @@ def link_counts(
     counted = tile_counts(
         inside.join(classes.select("node", "size", "vec"), "node"), kind, cosine
     )
-    return stage(listed.union(counted), "link-counts"), found
+    return stage(listed.union(counted), "link-counts"), found, dense
 
 
 def recall(
-    counts: DataFrame, classes: DataFrame, kind: str, cosine: float, total: int
+    counts: DataFrame,
+    found: DataFrame,
+    dense: DataFrame,
+    classes: DataFrame,
+    kind: str,
+    cosine: float,
 ) -> float:
-    """Share of the links of a bounded sample of vectors that was found; brute force, the sample
-    against all vectors in blocks."""
-    share = min(1.0, AUDITED / max(1, total))
-    sample = classes.filter(F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    """Share of the vectors with a link of which every link was found, by brute force for bounded
+    samples of three kinds of vectors: in components with a full list, in others, and those of
+    which no link was found. Vectors of the last two kinds are one population, as small groups
+    would vanish beside large ones; the smaller share counts."""
+    dense_node = F.col("dense").isNotNull()
+    kinds = stage(
+        classes.select("node", "family", "vec")
+        .join(found, "node", "left")
+        .join(few(dense.withColumn("dense", F.lit(True))), "component", "left")
+        .select(
+            "node",
+            "family",
+            "vec",
+            F.when(dense_node, 0).when(F.col("component").isNotNull(), 1).otherwise(2).alias("sort"),
+        ),
+        "audit-kinds",
+    )
+    totals = {r["sort"]: r["count"] for r in kinds.groupBy("sort").count().collect()}
+    part = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
+    share = F.lit(0)
+    for sort, n in totals.items():
+        limit = int(min(1.0, AUDITED / n) * (1 << 30))
+        share = F.when(F.col("sort") == sort, F.lit(limit)).otherwise(share)
+    sample = kinds.filter(part < share).select("node", "family", "vec", "sort").collect()
+    discard(kinds)
+    sorts = {row["node"]: row["sort"] for row in sample}
     queries: dict[tuple[str, int], list] = {}
-    for node, family, vec in sample.select("node", "family", "vec").collect():
+    for node, family, vec, _ in sample:
         queries.setdefault((family, len(vec)), []).append((node, bytes(vec)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -570,12 +717,19 @@ def recall(
         .groupBy("node")
         .agg(F.sum("n").alias("n"))
     )
-    row = (
-        truth.join(counts, "node", "left")
-        .agg(F.sum("n"), F.sum(F.least("n", F.coalesce("linked", F.lit(0)))))
-        .first()
-    )
-    return row[1] / row[0] if row[0] else 1.0
+    linked = {0: 0, 1: 0, 2: 0}
+    whole = {0: 0, 1: 0, 2: 0}
+    for row in truth.filter("n > 0").join(counts, "node", "left").collect():
+        linked[sorts[row["node"]]] += 1
+        whole[sorts[row["node"]]] += row["linked"] == row["n"]
+    seen = Counter(sorts.values())
+
+    def estimated(part: dict[int, int], sort: int) -> float:
+        return part[sort] * totals.get(sort, 0) / max(1, seen[sort])
+
+    inside = whole[0] / linked[0] if linked[0] else 1.0
+    beside = estimated(linked, 1) + estimated(linked, 2)
+    return min(inside, estimated(whole, 1) / beside if beside else 1.0)
 
 
 def near_duplicates(
@@ -592,21 +746,24 @@ def near_duplicates(
     zero or holds a null or non-finite number link with nothing and are their own component.
     Equal vectors of a label are one class before anything is compared, so copies, repeated rows
     among them, are never paired. Rows without a vec_id are never the smallest. ``report`` gets the
-    audited recall. An empty table gives no rows.
+    audited recall of each attempt, and 1 after all pairs were compared. An empty table gives no rows.
     """
     given = Positions(vectors).pick("vec_id", "embedding", "label")
     classes, kind = classes_of(given)
-    total = classes.count()
     lists, counts, found = None, None, None
     for attempt in range(ATTEMPTS):
         lists = neighbour_lists(classes, kind, drop_fresh(lists), attempt * TREES, TREES, neighbours)
-        counts, found = link_counts(lists, classes, kind, neighbours, cosine)
-        audited = recall(counts, classes, kind, cosine, total)
+        counts, found, dense = link_counts(lists, classes, kind, neighbours, cosine)
+        audited = recall(counts, found, dense, classes, kind, cosine)
         if report:
             report(audited)
         if audited >= RECALL:
             break
         logging.getLogger(__name__).warning("recall %.4f after %d trees", audited, (attempt + 1) * TREES)
+    else:
+        counts, found = all_links(classes, kind, cosine)
+        if report:
+            report(1.0)
     labelled = (
         classes.join(found, "node", "left")
         .join(counts, "node", "left")

@@ -199,6 +199,35 @@ def test_links_between_two_tight_groups(spark):
     check_embeddings(spark, rows)
 
 
+def test_lost_small_groups_are_seen_beside_a_large_one(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(0, rng.normal(size=16).tolist(), 1)] * 4000
+    rows += [(1 + k, [x + 0.01 * rng.normal() for x in rows[0][1]], 1) for k in range(12)]
+    for k in range(20):
+        at = rng.normal(size=16)
+        rows += [(1000 + 2 * k + i, (at + 0.005 * i).tolist(), 1) for i in range(2)]
+    whole, recalls = embedding_dedup.neighbour_lists, []
+    monkeypatch.setattr(embedding_dedup, "neighbour_lists", lambda *a: whole(*a).filter("u < 1000"))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = embedding_dedup.near_duplicates(frame, report=recalls.append).collect()
+    pairs = {r.vec_id: (r.n_links, r.component_id) for r in found if r.vec_id >= 1000}
+    assert pairs == {k: (1, k // 2 * 2) for k in range(1000, 1040)}
+    assert recalls[0] < embedding_dedup.RECALL
+
+
+def test_crowded_leaves_are_split_around_their_mean(spark):
+    rng = np.random.default_rng(8)
+    common = 3 * rng.normal(size=16)
+    rows = [(k, (common + rng.normal(size=16)).tolist(), 1) for k in range(1000)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    classes, kind = embedding_dedup.classes_of(frame)
+    leaves = classes.select("node", "family", F.lit(0).alias("tree"), F.lit(0).cast("long").alias("leaf"))
+    crowded = embedding_dedup.crowded_leaves(leaves)
+    split = embedding_dedup.split_leaves(leaves, crowded, classes, kind, 0).collect()
+    sizes = [len([r for r in split if r.leaf == leaf]) for leaf in {r.leaf for r in split}]
+    assert sorted(r.node for r in split) == list(range(1000)) and max(sizes) < 500
+
+
 def test_odd_vectors(spark):
     one, nan, inf = [1.0, 0.0, 0.5], float("nan"), float("inf")
     rows = [
