@@ -3,7 +3,8 @@
 A page is a sequence of words and tags. Words score positive and tags negative, words inside
 parts that are never an article score negative too; a linear scan finds the contiguous region with
 the largest sum. The weights are log odds counted on labelled pages: those with an ``article`` or
-``main`` element, whose inside is the label.
+``main`` element, whose inside is the label. Pages without one are scored by what every page has:
+tag names, the block and the link a word stands in, and the words of the block.
 """
 
 from __future__ import annotations
@@ -73,16 +74,25 @@ HAVING = {"has", "with", "no", "without", "hide", "show"}
 IN_ARTICLE, IN_ASIDE, BESIDE, UNMARKED = "article", "aside", "beside", "unmarked"
 #: Score of a word or tag that no labelled page has shown, and the least that a tag costs.
 WORD, TAG, LEAST = 1.0, 0.5, 0.05
+#: A feature that every page has weighs at most this much for or against.
+MOST = 2.0
+#: Blocks that say nothing of their content; those of the label are among them.
+PLAIN = ARTICLE | {"body", "div", "html", "section", ""}
+#: Words of a block up to which it is of one size.
+SIZES = (3, 9, 24)
 
 
 class Token:
-    """A run of text with its place, or a tag (``name`` is set)."""
+    """A run of text with its place, or a tag (``name`` is set). ``shape`` is what a run shows
+    whatever its place: its block, whether it is in a link, and the size of the block."""
 
-    __slots__ = ("name", "text", "words", "place", "breaks")
+    __slots__ = ("name", "text", "words", "place", "breaks", "closes", "shape")
 
-    def __init__(self, name: str, text: str, place: str, breaks: bool):
+    def __init__(self, name: str, text: str, place: str, breaks: bool, closes: bool = False):
         self.name, self.text, self.place, self.breaks = name, text, place, breaks
+        self.closes = closes
         self.words = len(text.split())
+        self.shape = ""
 
 
 def is_aside(name: str, attributes: str) -> bool:
@@ -137,7 +147,7 @@ def tokens(html: str) -> list[Token]:
             leave(len(stack) - 1)
         if match["close"]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            found.append(Token(name, "", place(), block))
+            found.append(Token(name, "", place(), block, True))
             if depth is not None:
                 leave(depth)
             continue
@@ -158,13 +168,54 @@ def tokens(html: str) -> list[Token]:
     for token in found:
         if token.place != IN_ASIDE:
             token.place = UNMARKED if not marked else IN_ARTICLE if token.place == marked else BESIDE
+    set_shapes(found)
     return found
 
 
+def set_shapes(page: list[Token]) -> None:
+    """Give each text run of a page its shape."""
+    open_blocks, link, run = [""], False, []
+
+    def end_block() -> None:
+        words = sum(token.words for token, _ in run)
+        size = sum(words > most for most in SIZES)
+        block = "div" if open_blocks[-1] in PLAIN else open_blocks[-1]
+        for token, linked in run:
+            token.shape = f"block={block} link={linked} size={size}"
+        run.clear()
+
+    for token in page:
+        if not token.name:
+            run.append((token, link))
+        elif not token.breaks:
+            if token.name == "a":
+                link = not token.closes
+        elif token.name not in VOID:
+            end_block()
+            link = False
+            if not token.closes:
+                if token.name in ("p", "li") and open_blocks[-1] == token.name or open_blocks[-1] == "p":
+                    open_blocks.pop()
+                open_blocks.append(token.name)
+            elif token.name in open_blocks:
+                while open_blocks.pop() != token.name:
+                    pass
+    end_block()
+
+
+def shapes(token: Token) -> list[str]:
+    """The features of a token that do not tell whether the page marks its article."""
+    if token.name:
+        return [] if token.name in ARTICLE else [f"tag={token.name}"]
+    return token.shape.split()
+
+
 def features(token: Token) -> tuple[str, float]:
     """The feature whose weight a token has, and how many times."""
     if token.name:
         return f"tag {token.name} {token.place}", 1
+    if token.place == UNMARKED:
+        return f"text {token.shape} {token.place}", token.words
     return f"word {token.place}", token.words
 
 
@@ -175,7 +226,14 @@ def weight(feature: str, weights: dict[str, float]) -> float:
     if place == IN_ASIDE:
         return -LEAST / 10
     if kind == "tag":
-        return -max(-weights.get(feature, -TAG), LEAST)
+        known = weights.get(feature)
+        if known is None and place == UNMARKED:
+            known = weights.get(f"tag={feature.split(' ')[1]}")
+            known = None if known is None else max(known, -MOST)
+        return -max(-(-TAG if known is None else known), LEAST)
+    if kind == "text":
+        seen = [weights[f] for f in feature.split(" ")[1:-1] if f in weights]
+        return sum(max(-MOST, min(MOST, w)) for w in seen) if seen else WORD
     if place == BESIDE:
         return -abs(weights.get(feature, WORD))
     return max(weights.get(f"word {IN_ARTICLE}", WORD), WORD)
@@ -216,7 +274,9 @@ def counts(html: str | None) -> Counter:
         for token in page:
             feature, times = features(token)
             if times:
-                seen[feature, token.place == IN_ARTICLE] += times
+                inside = token.place == IN_ARTICLE
+                seen[feature, inside] += times
+                seen.update({(shape, inside): times for shape in shapes(token)})
     return seen
 
 
@@ -242,8 +302,18 @@ def fit(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> dict[str, flo
     odds: dict[str, list[float]] = {}
     for feature, inside, n in counted.groupBy("feature", "inside").agg(F.sum("n")).collect():
         odds.setdefault(feature, [0.5, 0.5])[inside] += n
-    outside, within = (sum(o[k] for o in odds.values()) or 1.0 for k in (0, 1))
-    return {f: math.log(o[1] / within * outside / o[0]) for f, o in odds.items()}
+    # Each kind of feature that every page has is one of several views of the same tokens.
+    total: dict[str, list[float]] = {}
+    for feature, seen in odds.items():
+        both = total.setdefault(view(feature), [0.0, 0.0])
+        both[0], both[1] = both[0] + seen[0], both[1] + seen[1]
+    return {
+        f: math.log(o[1] / total[view(f)][1] * total[view(f)][0] / o[0]) for f, o in odds.items()
+    }
+
+
+def view(feature: str) -> str:
+    return feature.split("=")[0] if "=" in feature and " " not in feature else ""
 
 
 def extract(pages: DataFrame, training_pages: int = TRAINING_PAGES) -> DataFrame:

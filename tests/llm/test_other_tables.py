@@ -1,6 +1,7 @@
 """Operators on pages, conversations and embeddings, and their registered queries."""
 
 import random
+from collections import Counter
 from hashlib import sha256
 
 import duckdb
@@ -88,6 +89,22 @@ def test_given_pages_lose_nothing_of_their_article(spark):
         assert found[row.page_id] == " ".join(unescape(plain).split())
 
 
+def test_given_pages_without_their_marks_give_the_same_article(spark):
+    import re
+
+    pages = spark.read.parquet(f"{SMALLEST}/pages.parquet")
+    weights = html_extraction.fit(pages)
+    shared, found, wanted = 0, 0, 0
+    for row in pages.collect():
+        bare = re.sub(r"<(/?)(article|nav|footer|aside|header)\b[^>]*>", r"<\1div>", row.html)
+        bare = bare.replace('class="ad"', 'class="x"')
+        got = html_extraction.main_text(bare, weights).split()
+        right = html_extraction.main_text(row.html, weights).split()
+        found, wanted = found + len(got), wanted + len(right)
+        shared += sum((Counter(got) & Counter(right)).values())
+    assert shared >= 0.99 * wanted and shared >= 0.99 * found
+
+
 # --- conversations
 
 SCRAPS = [*"<s> </s> [INST] [/INST] <<SYS>> <</SYS>> [SEP] [ROLE] [TEXT] [/ROLE] </ s> <\\s>".split()]
