@@ -18,6 +18,7 @@ from orderloom.llm import (
     pii,
     quality_rules,
     simhash_dedup,
+    substring_dedup,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +125,13 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality(table(spark, folder, "documents"))
 
 
+@query
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What every document keeps when passages of earlier documents go."""
+    kept = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 SQL["op7_line_dedup"] = f"""
 with lines as (
   select doc_id, source, position, raw,
@@ -218,3 +226,33 @@ select vec_id, coalesce(n, 0)::bigint as n_links, least(vec_id, coalesce(b, vec_
   vec_id <= coalesce(b, vec_id) as kept
 from embeddings e left join counted c on e.vec_id = c.a left join smallest s on e.vec_id = s.a
 """
+
+SQL["op13_substring_dedup"] = rf"""
+with docs as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+  from documents
+), starts as (
+  select r, doc_id, words, unnest(range(1, len(words) - {substring_dedup.WINDOW} + 2)) as s from docs
+), windows as (
+  select r, doc_id, s, md5(array_to_string(words[s:s + {substring_dedup.WINDOW - 1}], ' ')) as content
+  from starts
+), owners as (
+  select content, min(doc_id) as owner from windows group by content
+), gone as (
+  select r, s from windows join owners using (content) where owner < doc_id
+), placed as (
+  select r, unnest(words) as word, unnest(range(1, len(words) + 1)) as p from docs
+), judged as (
+  select placed.r, p, word, coalesce(p - max(s) over (partition by placed.r order by p)
+    < {substring_dedup.WINDOW}, false) as removed
+  from placed left join gone on placed.r = gone.r and p = s
+), left_over as (
+  select r, count(*) filter (removed) as n_removed,
+    string_agg(word, ' ' order by p) filter (not removed) as kept
+  from judged group by r
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed,
+  sha256(coalesce(kept, '')) as kept_sha256
+from docs left join left_over using (r)
+"""
