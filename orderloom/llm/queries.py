@@ -16,8 +16,10 @@ from orderloom.llm import (
     mixing,
     packing,
     pii,
+    prefix_trie,
     quality_rules,
     simhash_dedup,
+    spelling_variants,
     substring_dedup,
 )
 
@@ -125,6 +127,29 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality(table(spark, folder, "documents"))
 
 
+#: One run in so many loses a code point.
+DAMAGED = 199
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with their forms and roots; planted misspellings among them."""
+    words = spelling_variants.word_counts(table(spark, folder, "documents"), DAMAGED)
+    return spelling_variants.variants(words)
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Trie of all conversations, each begun like the first one of its hundred."""
+    turns = table(spark, folder, "conversations").filter("conv_id is not null")
+    paths = prefix_trie.prefixes(
+        prefix_trie.turn_digests(turns),
+        "conv_id - conv_id % 100",
+        "cast(crc32(cast(cast(conv_id as string) as binary)) % 6 as int)",
+    )
+    return prefix_trie.trie(paths)
+
+
 @query
 def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What every document keeps when passages of earlier documents go."""
@@ -256,3 +281,101 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as
   sha256(coalesce(kept, '')) as kept_sha256
 from docs left join left_over using (r)
 """
+
+
+def crc32_sql(codes: str) -> str:
+    """CRC-32 of bytes: ``codes`` is a list of lists, each a byte and eight times -1."""
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::bigint, flatten({codes})),
+      lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, 3988292384 * (a & 1)) end))"""
+
+
+_STEPS = ", ".join(["-1::bigint"] * 8)
+_TEXT_CODES = f"""list_transform(string_split(%s, ''), lambda c: case when ord(c) < 128
+      then [ord(c)::bigint, {_STEPS}] else [195::bigint, {_STEPS}, ord(c)::bigint - 64, {_STEPS}] end)"""
+
+SQL["op11_spelling_variants"] = f"""
+with recursive found as (
+  select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as given from documents
+), runs as (
+  select doc_id, translate(given, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run,
+    count(*) as n
+  from found where length(given) >= {spelling_variants.MIN_LENGTH} group by all
+), drawn as (
+  select run, n, coalesce({crc32_sql(_TEXT_CODES % "doc_id || ':' || run")}, 1) as h from runs
+), damaged as (
+  select n, case when h % {DAMAGED} = 0
+    then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word
+  from drawn
+), words as (
+  select word, sum(n)::bigint as n from damaged
+  where length(word) >= {spelling_variants.MIN_LENGTH}
+  group by word having sum(n) >= {spelling_variants.MIN_COUNT}
+), cut as (
+  select word, n, unnest(range(1, length(word) + 1)) as place from words
+), holes as (
+  select word, n, place, left(word, place - 1) as head, substr(word, place + 1) as tail from cut
+), pairs as (
+  select a.word, b.word as near, b.n as near_n
+  from holes a join holes b on a.head = b.head and a.tail = b.tail and a.word <> b.word
+  union select h.word, w.word, w.n from holes h join words w on w.word = head || tail
+  union select w.word, h.word, h.n from holes h join words w on w.word = head || tail
+), best as (
+  select word, count(*) as n_near, arg_min(near, (-near_n, near)) as near, max(near_n) as near_n
+  from pairs group by word
+), judged as (
+  select w.word, w.n, coalesce(n_near, 0) as n_near,
+    case when near_n >= {spelling_variants.FORM_RATIO} * w.n then near end as form,
+    case when near_n >= {spelling_variants.FORM_RATIO} * w.n then near_n end as form_n
+  from words w left join best using (word)
+), steps(word, root) as (
+  select word, word from judged
+  union all select s.word, j.form from steps s join judged j on j.word = s.root where j.form is not null
+), ends as (
+  select s.word, s.root from steps s join judged j on j.word = s.root where j.form is null
+)
+select word, form, root, n, n_near::bigint as n_near, form_n::bigint as form_n
+from judged join ends using (word)
+"""
+
+SQL["op12_prefix_trie"] = f"""
+with said as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first) as place
+  from conversations where conv_id is not null
+), convs as (
+  select conv_id, conv_id - conv_id % 100 as leader, {crc32_sql(_TEXT_CODES % "conv_id::varchar")} % 6 as h
+  from (select distinct conv_id from said)
+), rebuilt as (
+  select c.conv_id, 0 as own, place, role, text from convs c join said s on s.conv_id = leader and place <= h
+  union all
+  select conv_id, 1, place, role, text from convs join said using (conv_id) where place > h
+), chained as (
+  select conv_id, length(text) as chars, row_number() over w as depth,
+    md5(string_agg(sha256(length(role) || ':' || role || text), '') over w) as key
+  from rebuilt window w as (partition by conv_id order by own, place)
+), paths as (
+  select conv_id, 0 as depth, '' as key, null as parent, 0 as chars from convs
+  union all
+  select conv_id, depth, key, lag(key, 1, '') over (partition by conv_id order by depth), chars from chained
+), nodes as (
+  select key, min(conv_id) as conv_id, min(depth) as depth, min(parent) as parent,
+    count(*) as n_convs, (count(*) - 1) * min(chars) as own
+  from paths group by key
+), families as (
+  select parent, count(*) as n_children from nodes where parent is not null group by parent
+), ends as (
+  select key, sha256(string_agg(conv_id::varchar, ',' order by conv_id)) as ends_sha256
+  from (select * from paths qualify row_number() over (partition by conv_id order by depth desc) = 1)
+  group by key
+), totals as (
+  select above.key, count(*) filter (n_children is null) as n_leaves, sum(n.own) as saved_tokens
+  from nodes n left join families f on f.parent = n.key
+    join paths above on above.conv_id = n.conv_id and above.depth <= n.depth
+  group by above.key
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs,
+  coalesce(n_children, 0)::bigint as n_children, n_leaves, saved_tokens::bigint as saved_tokens,
+  coalesce(ends_sha256, sha256('')) as ends_sha256
+from nodes n join totals using (key) left join nodes p on p.key = n.parent
+  left join families f on f.parent = n.key left join ends on ends.key = n.key
+"""
