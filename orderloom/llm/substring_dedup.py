@@ -106,6 +106,19 @@ def phrases(running: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return hashes, least(hashes, WINDOW - PHRASE + 1)
 
 
+def distinct(places: np.ndarray) -> np.ndarray:
+    """Each of the places of successive windows once; they never go back."""
+    return places[np.diff(places, prepend=-1) != 0]
+
+
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return known[at] == values
+
+
 def letters(words: np.ndarray) -> str:
     """A text of one letter a word, for the automaton; different words seldom share a letter."""
     code = (words % np.uint64(0xD7FF)).astype(np.uint32) + np.uint32(1)
@@ -130,7 +143,7 @@ def _phrase_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(words) < WINDOW:
                 continue
             hashes, places = phrases(sums(words))
-            own = np.unique(hashes[np.unique(places)])
+            own = np.unique(hashes[distinct(places)])
             found.append(own)
             docs.append(np.full(len(own), doc, np.int64))
             shards.append(np.full(len(own), shard, np.int32))
@@ -172,8 +185,8 @@ def _shard_pieces(confirmed: list[np.ndarray], docs: list[tuple]) -> Iterator[pa
         if len(words) < WINDOW:
             continue
         hashes, places = phrases(sums(words))
-        places = np.unique(places)
-        places = places[np.isin(hashes[places].view(np.int64), wanted)]
+        places = distinct(places)
+        places = places[among(hashes[places].view(np.int64), wanted)]
         if len(places):
             text = letters(words)
             for place in places.tolist():
