@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.catalog import views
@@ -95,8 +95,51 @@ def page_nodes(spark, folder):
     return pages.nodes(_pages(spark, folder)).drop("user_id")
 
 
+def _landings(spark, folder):
+    """Pages of one extraction per user, in event order, with the faults that ``_LANDINGS`` names."""
+    by_user = Window.partitionBy("user_id")
+    events = (
+        star.table(spark, folder, "events")
+        .select("event_id", "user_id")
+        .withColumn("n", F.row_number().over(by_user.orderBy("event_id")))
+        .withColumn("size", F.count(F.lit(1)).over(by_user))
+        .withColumn("before", F.lag("event_id").over(by_user.orderBy("event_id")))
+    )
+    placed = events.selectExpr("*", "user_id % 12 as fault", "cast(size div 2 as int) as half")
+    told = placed.selectExpr(
+        "event_id", "user_id", "n",
+        """case when fault = 5 and n = half + 1 then null
+          when fault = 6 and n = half then 'x' when fault = 6 and n = half + 1 then 'y'
+          when fault = 0 and before % 20 = 3 then 'same'
+          else concat('c', before) end as after""",
+        """case when fault = 6 and n = half - 1 then concat('"c', lead(event_id, 2) over
+            (partition by user_id order by event_id), '"')
+          when fault = 6 and n = half then '"y"' when fault = 6 and n = half + 1 then '"x"'
+          when fault = 0 and event_id % 50 = 7 then 'null' when fault = 0 and event_id % 20 = 3 then '"same"'
+          else concat('"c', event_id, '"') end as cursor""",
+        "if(n = size or (fault = 5 and n = half), 'false', 'true') as more",
+        """case when fault = 2 and n = 1 or fault = 3 and n = half or fault = 4 and n = size then 0
+          when fault = 7 and n = half then 2 else 1 end as copies""",
+        "fault = 1 and event_id % 61 = 5 as cut_off",
+        "if(fault = 1 and event_id % 53 = 9, '{\"cursor\":\"x\"}', concat('{\"node\":{\"id\":\"', event_id, '\"}}')) as edge",
+    )
+    page = F.format_string(
+        '{"edges":[%s],"pageInfo":{"hasNextPage":%s,"endCursor":%s}}', "edge", "more", "cursor"
+    )
+    wrapped = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"orders":'), page, F.lit("}"))).otherwise(page)
+    whole = F.when(F.col("cut_off"), F.substring(wrapped, 1, F.length(wrapped) - 1)).otherwise(wrapped)
+    return told.select(
+        "event_id", "user_id", "after", whole.alias("page"), F.explode(F.array_repeat(F.lit(1), F.col("copies")))
+    ).drop("col")
+
+
 def page_chain(spark, folder):
-    return pages.chain(_pages(spark, folder), "user_id")
+    return pages.chain(_landings(spark, folder), "user_id")
+
+
+def page_order(spark, folder):
+    landed = pages.in_order(_landings(spark, folder), "user_id")
+    return landed.select("event_id", "user_id", "page_number")
 
 
 def _inventory(spark, folder):
@@ -268,6 +311,7 @@ QUERIES = {
     "source_update_order": source_update_order,
     "page_nodes": page_nodes,
     "page_chain": page_chain,
+    "page_order": page_order,
     "high_water_marks": high_water_marks,
     "release_totals": release_totals,
     "latest_input": latest_input,
@@ -319,6 +363,35 @@ altered_v AS (SELECT i.snapshot_id, i.manifest_fingerprint FROM inventory_v i
   WHERE i.manifest_fingerprint IS DISTINCT FROM p.manifest_fingerprint)"""
 _CHECKS = f"{views.INVENTORY}, {_MISSING}"
 
+# One extraction per user with one kind of fault: 0 cursors missing or repeated, 1 pages cut off and
+# edges without node, 2 the first, 3 a middle, 4 the last page lost, 5 two chains, 6 a chain and a
+# loop, 7 a page landed twice. ``walk`` follows the cursors from the first page.
+_LANDINGS = """
+        events_v AS (
+          SELECT event_id, user_id, row_number() OVER w AS n, count(*) OVER (PARTITION BY user_id) AS size,
+            lag(event_id) OVER w AS before, lead(event_id, 2) OVER w AS skipped, user_id % 12 AS fault,
+            size // 2 AS half FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+        told_v AS (
+          SELECT event_id, user_id, fault = 1 AND event_id % 61 = 5 AS cut_off,
+            fault = 1 AND event_id % 53 = 9 AND NOT cut_off AS nodeless,
+            n <> size AND NOT (fault = 5 AND n = half) AND NOT cut_off AS more,
+            CASE WHEN fault = 5 AND n = half + 1 THEN NULL WHEN fault = 6 AND n = half THEN 'x'
+              WHEN fault = 6 AND n = half + 1 THEN 'y' WHEN fault = 0 AND before % 20 = 3 THEN 'same'
+              ELSE 'c' || before END AS after,
+            CASE WHEN NOT more THEN NULL WHEN fault = 6 AND n = half - 1 THEN 'c' || skipped
+              WHEN fault = 6 AND n = half THEN 'y' WHEN fault = 6 AND n = half + 1 THEN 'x'
+              WHEN fault = 0 AND event_id % 50 = 7 THEN NULL WHEN fault = 0 AND event_id % 20 = 3 THEN 'same'
+              ELSE 'c' || event_id END AS cursor,
+            CASE WHEN fault = 2 AND n = 1 OR fault = 3 AND n = half OR fault = 4 AND n = size THEN 0
+              WHEN fault = 7 AND n = half THEN 2 ELSE 1 END AS copies
+          FROM events_v),
+        landed_v AS (SELECT t.* FROM told_v t, (VALUES (1), (2)) AS c(copy) WHERE copy <= copies),
+        walk(user_id, event_id, cursor, page_number) AS (
+          SELECT user_id, event_id, cursor, CAST(1 AS BIGINT) FROM landed_v WHERE after IS NULL
+          UNION
+          SELECT l.user_id, l.event_id, l.cursor, page_number + 1 FROM walk w JOIN landed_v l
+            ON l.user_id = w.user_id AND l.after = w.cursor WHERE page_number < 500)"""
+
 SQL = {
     "window_full": with_views(
         _MARKS, _window("full", "2024-01-31T23:59:55+00:00", "CAST(NULL AS VARCHAR)")
@@ -351,21 +424,42 @@ SQL = {
         SELECT event_id, CAST(j AS INTEGER) AS position, CASE WHEN event_id % 53 <> 9 OR j <> 1
           THEN '{"id":"' || event_id || '-' || j || '"}' END AS raw
         FROM events, (VALUES (0), (1), (2)) AS n(j) WHERE j < event_id % 4 AND event_id % 61 <> 5""",
-    "page_chain": """
-        WITH needed_v AS (
-          SELECT user_id, event_id % 61 = 5 AS broken, event_id % 4 <> 0 AND NOT broken AS more,
-            event_id % 53 = 9 AND event_id % 4 >= 2 AND NOT broken AS nodeless,
-            CASE WHEN NOT more THEN NULL
-              WHEN event_id % 50 = 7 THEN NULL WHEN event_id % 20 = 3 THEN 'same'
-              ELSE 'c' || event_id END AS cursor FROM events),
+    "page_chain": f"""
+        WITH RECURSIVE {_LANDINGS},
+        named_v AS (SELECT user_id, cursor, count(*) AS n FROM landed_v WHERE cursor IS NOT NULL GROUP BY 1, 2),
+        asked_v AS (SELECT user_id, after, count(*) AS n FROM landed_v WHERE after IS NOT NULL GROUP BY 1, 2),
+        links_v AS (
+          SELECT coalesce(a.user_id, c.user_id) AS user_id,
+            coalesce(sum(greatest(c.n - 1, 0)), 0) AS repeated_cursors,
+            count(*) FILTER (a.n IS NULL) AS lost_pages, count(*) FILTER (c.n IS NULL) AS unnamed_requests,
+            coalesce(sum(greatest(a.n - 1, 0)), 0) AS repeated_requests
+          FROM named_v c FULL JOIN asked_v a ON a.user_id = c.user_id AND after = cursor GROUP BY 1),
         facts_v AS (
-          SELECT user_id, count(*) AS pages, count(*) FILTER (NOT more AND NOT broken) AS final_pages,
+          SELECT user_id, count(*) AS pages, count(*) FILTER (after IS NULL) AS first_pages,
+            count(*) FILTER (NOT more AND NOT cut_off) AS final_pages,
             count(*) FILTER (more AND cursor IS NULL) AS missing_cursors,
-            count(cursor) - count(DISTINCT cursor) AS repeated_cursors,
-            count(*) FILTER (broken) AS broken_pages, count(*) FILTER (nodeless) AS missing_nodes
-          FROM needed_v GROUP BY 1)
-        SELECT *, final_pages = 1 AND missing_cursors = 0 AND repeated_cursors = 0
-          AND broken_pages = 0 AND missing_nodes = 0 AS complete FROM facts_v""",
+            CAST(any_value(repeated_cursors) AS BIGINT) AS repeated_cursors,
+            any_value(lost_pages) AS lost_pages, any_value(unnamed_requests) AS unnamed_requests,
+            CAST(any_value(repeated_requests) AS BIGINT) AS repeated_requests,
+            count(*) FILTER (cut_off) AS broken_pages, count(*) FILTER (nodeless) AS missing_nodes
+          FROM landed_v LEFT JOIN links_v USING (user_id) GROUP BY 1),
+        sound_v AS (
+          SELECT *, first_pages = 1 AND final_pages = 1 AND missing_cursors + repeated_cursors + lost_pages
+            + unnamed_requests + repeated_requests + broken_pages + missing_nodes = 0 AS sound FROM facts_v)
+        SELECT s.* EXCLUDE (sound), CASE WHEN sound THEN reached END AS linked_pages,
+          sound AND reached = pages AS complete
+        FROM sound_v s LEFT JOIN (SELECT user_id, max(page_number) AS reached FROM walk GROUP BY 1) w
+          USING (user_id)""",
+    "page_order": f"""
+        WITH RECURSIVE {_LANDINGS},
+        whole_v AS (
+          SELECT user_id FROM landed_v LEFT JOIN walk USING (user_id, event_id) GROUP BY 1
+          HAVING count(*) = count(page_number) AND count(*) = count(DISTINCT event_id)
+            AND count(DISTINCT page_number) = count(*) AND NOT bool_or(cut_off) AND NOT bool_or(nodeless)
+            AND count(*) FILTER (NOT more) = 1)
+        SELECT event_id, user_id, page_number FROM landed_v
+          LEFT JOIN (SELECT user_id, event_id, page_number FROM walk JOIN whole_v USING (user_id))
+          USING (user_id, event_id)""",
     "high_water_marks": with_views(
         views.INVENTORY,
         f"""
