@@ -3,7 +3,7 @@
 Words are the symbols. The suffixes of a batch of texts are sorted by prefix doubling;
 neighbours in that order with a common prefix of ``window`` words or more form the intervals of
 the maximal repeats, and the union of their spans is what a text repeats. Suffixes stop at the
-end of their text. Doubling ends beyond ``longest`` words, as a longer repeat fails anyway.
+end of their text. Doubling ends beyond the longest repeat that a text of the batch may hold.
 """
 
 from __future__ import annotations
@@ -24,14 +24,15 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
 WINDOW = 5
 COVERED_PERCENT = 20
-#: Words of the longest repeat that a text may hold.
-LONGEST = 200
+#: Share of a text's words that its longest repeat may hold, and the words that every text may.
+LONGEST_PERCENT = 5
+LONGEST = 30
 #: Words whose suffixes are sorted together; a longer text is sorted by itself.
 BATCH_WORDS = 200_000
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "longest_repeat long"
+    "longest_repeat long, allowed_repeat long"
 )
 
 
@@ -88,8 +89,18 @@ def repeats(symbols: np.ndarray, window: int, longest: int) -> np.ndarray:
     return found
 
 
-def measure(texts: Iterable[str], window: int, longest: int) -> list[tuple[int, ...]]:
-    """The measures of each text, in the order of ``MEASURES``."""
+def allowed(n_words: int, longest: int, percent: int) -> int:
+    """Words of the longest repeat that a text of ``n_words`` may hold."""
+    return max(longest, n_words * percent // 100)
+
+
+def measure(
+    texts: Iterable[str], window: int, longest: int, percent: int = LONGEST_PERCENT
+) -> list[tuple[int, ...]]:
+    """The measures of each text, in the order of ``MEASURES``.
+
+    The longest repeat is counted up to one word more than the text may hold.
+    """
     rows, batch, size = [], [], 0
 
     def flush() -> None:
@@ -106,16 +117,17 @@ def measure(texts: Iterable[str], window: int, longest: int) -> list[tuple[int,
             symbols[start:end] = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
             symbols[start:end] += text_number << 40
             symbols[end] = (len(batch) << 40) + text_number
-        reach = repeats(symbols, window, longest)
+        limits = [allowed(n, longest, percent) for n in lengths.tolist()]
+        reach = repeats(symbols, window, max(limits))
         at = np.flatnonzero(reach)
         change = np.zeros(total + 1, np.int64)
         np.add.at(change, at, 1)
         np.add.at(change, np.minimum(at + reach[at], total), -1)
-        # A span may be known only to be over ``longest``; the next starts carry it on.
+        # A span may be known only to be over all limits; the next starts carry it on.
         covered = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
-        for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+        for start, end, limit in zip(starts.tolist(), ends.tolist(), limits, strict=True):
             most = int(reach[start:end].max()) if end > start else 0
-            rows.append((int(covered[end] - covered[start]), most))
+            rows.append((int(covered[end] - covered[start]), min(most, limit + 1), limit))
         batch.clear()
 
     plain = []
@@ -134,7 +146,9 @@ def measure(texts: Iterable[str], window: int, longest: int) -> list[tuple[int,
     return [a + b for a, b in zip(plain, rows, strict=True)]
 
 
-def with_measures(docs: DataFrame, window: int = WINDOW, longest: int = LONGEST) -> DataFrame:
+def with_measures(
+    docs: DataFrame, window: int = WINDOW, longest: int = LONGEST, percent: int = LONGEST_PERCENT
+) -> DataFrame:
     """Every column of ``docs`` by position (in0, in1 ...) with the measures of ``text``."""
     given = Positions(docs)
     text_at = given.names.index("text")
@@ -142,7 +156,7 @@ def with_measures(docs: DataFrame, window: int = WINDOW, longest: int = LONGEST)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (text.as_py() or "" for text in batch.column(text_at))
-            columns = list(zip(*measure(texts, window, longest), strict=True)) or [()] * 6
+            columns = list(zip(*measure(texts, window, longest, percent), strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(c, pa.int64()) for c in columns]],
                 names=[*batch.schema.names, *names],
@@ -159,19 +173,22 @@ def verdicts(
     longest: int = LONGEST,
     min_words: int = MIN_WORDS,
     covered_percent: int = COVERED_PERCENT,
+    longest_percent: int = LONGEST_PERCENT,
 ) -> DataFrame:
     """``docs`` by position with measures, ``base_failed`` and ``kept``.
 
     A text fails the base rules with fewer than ``min_words`` words or with more than
     ``covered_percent`` of them inside repeats of ``window`` words or more; beyond that, a
-    longest repeat over ``longest`` words fails. Null and empty texts have no words and fail.
-    Repeated rows are judged alike; other columns, null or not, decide nothing.
+    longest repeat of more than ``longest_percent`` of its words fails, if it has more than
+    ``longest``. Null and empty texts have no words and fail. Repeated rows are judged alike;
+    other columns, null or not, decide nothing. An empty table gives no rows.
     """
     base = (F.col("n_words") < min_words) | (
         100 * F.col("n_repeat_words") > covered_percent * F.col("n_words")
     )
-    return with_measures(docs, window, longest).withColumns(
-        {"base_failed": base, "kept": ~base & (F.col("longest_repeat") <= longest)}
+    fits = F.col("longest_repeat") <= F.col("allowed_repeat")
+    return with_measures(docs, window, longest, longest_percent).withColumns(
+        {"base_failed": base, "kept": ~base & fits}
     )
 
 

@@ -168,21 +168,19 @@ with lines as (
   )
 ), spread as (
   select line, min((doc_id, position)) as first
-  from lines where length(line) >= {line_dedup.MIN_CHARS}
-  group by line having count(distinct source) >= {line_dedup.MIN_SITES}
+  from lines where line <> ''
+  group by line having count(distinct source) >= greatest({line_dedup.MIN_SITES}, least(
+    (select count(distinct source) from documents),
+    ceil({line_dedup.MIN_SITES * line_dedup.FULL_CHARS}::double / length(line))))
 ), remaining as (
   select doc_id, string_agg(raw, chr(10) order by position) as left_text
   from lines left join spread using (line)
   where first is null or first = (doc_id, position)
   group by doc_id
-), cut as (
-  select d.*, case when length(coalesce(left_text, '')) < length(d.text) * {1 - line_dedup.MAX_SHARE}
-    then d.text else coalesce(left_text, '') end as new_text
-  from documents d left join remaining using (doc_id)
 )
-select doc_id, case when text is null then null else new_text end as text, lang, source,
-  length(case when text is null then null else new_text end)::bigint as n_chars
-from cut
+select doc_id, case when text is not null then coalesce(left_text, '') end as text, lang, source,
+  length(case when text is not null then coalesce(left_text, '') end)::bigint as n_chars
+from documents left join remaining using (doc_id)
 """
 
 SQL["op9_source_mixing"] = f"""

@@ -77,6 +77,21 @@ def test_a_long_repeat_is_only_known_to_be_over_the_limit_and_covered_whole():
     assert measured[4] == 1000 and measured[5] > 40
 
 
+def test_the_longest_repeat_alone_decides(make_documents):
+    def text(n_words, repeat, name):
+        words = [f"{name}{i}" for i in range(n_words - repeat)]
+        return " ".join(words + words[:repeat])
+
+    sizes = [(400, 30), (400, 31), (400, 39), (2000, 100), (2000, 101), (2000, 190), (60_000, 3001), (60_000, 3000)]
+    rows = [(i, text(n, r, "w"), "a") for i, (n, r) in enumerate(sizes)]
+    found = {r.doc_id: r for r in quality_rules.quality(make_documents(rows)).collect()}
+    assert not any(r.base_failed for r in found.values())
+    assert [found[i].kept for i in range(8)] == [True, False, False, True, False, False, False, True]
+    assert [found[i].longest_repeat for i in range(8)] == [30, 31, 31, 100, 101, 101, 3001, 3000]
+    alone = quality_rules.quality(make_documents(rows[1:2])).first()
+    assert alone.asDict() == found[1].asDict()
+
+
 def test_measures_of_lines_and_characters(make_documents):
     text = "a line\nb # line\na line\n \n \na  line"
     row = quality_rules.quality(make_documents([(1, text, "a")])).first()
@@ -175,13 +190,59 @@ def test_boilerplate_goes_but_for_its_first_occurrence(make_documents):
     assert line_dedup.remove_boilerplate(docs.limit(0)).count() == 0
 
 
-def test_lines_on_few_sites_short_lines_and_whole_copies_stay(make_documents):
+def brute_lines(rows, min_sites=5, full_chars=25):
+    """Texts without boilerplate, by (doc_id, text)."""
+    blanks = "\x20\x09\x0a\x0b\x0c\x0d"
+    sites, first = collections.defaultdict(set), {}
+    every = {source for _, _, source in rows if source is not None}
+    for doc_id, text, source in rows:
+        for n, raw in enumerate((text or "").split("\n")):
+            line = raw.strip(blanks)
+            sites[line].add(source)
+            body = xxhash.xxh64_intdigest((text or "").encode(), 42)
+            place = (doc_id is None, doc_id or 0, body - (body >> 63 << 64), n)
+            first[line] = min(first.get(line, place), place)
+    cut = {}
+    for doc_id, text, _ in rows:
+        body = xxhash.xxh64_intdigest((text or "").encode(), 42)
+        left = []
+        for n, raw in enumerate((text or "").split("\n")):
+            line = raw.strip(blanks)
+            needed = max(min_sites, min(len(every), -(-min_sites * full_chars // max(len(line), 1))))
+            is_first = first[line] == (doc_id is None, doc_id or 0, body - (body >> 63 << 64), n)
+            if not line or is_first or len(sites[line] - {None}) < needed:
+                left.append(raw)
+        cut[doc_id, text] = None if text is None else "\n".join(left)
+    return cut
+
+
+def test_lines_of_every_length_and_whole_copies_against_brute_force(make_documents):
+    random.seed(12)
     few = [(i, f"{LINE}\nsome more of text {i} for here", f"s{i % 4}") for i in range(40)]
-    short = [(100 + i, f"Subscribe now\nown words of text {i} are here", f"s{i}") for i in range(9)]
+    short = [(100 + i, f"Subscribe now\nown words of text {i} are here", f"s{i}") for i in range(20)]
+    short += [(130 + i, f"All rights reserved. \nown {i}\n\tShare\n---", f"s{i}") for i in range(14)]
     copies = [(200 + i, "a whole text that was copied\nas it stands to all the sites", f"s{i}") for i in range(9)]
-    docs = make_documents([*few, *short, *copies])
-    found = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(docs).collect()}
-    assert found == {i: text for i, text, _ in [*few, *short, *copies]}
+    mixed = []
+    for i in range(300, 500):
+        lines = [random.choice(["x", "ok", "Menu", "Read more", "Contact us", "a line of all the mixed texts", "", f"own {i}"]) for _ in range(9)]
+        mixed.append((i, "\n".join(lines), random.choice([None, *[f"s{k}" for k in range(22)]])))
+    odd = [(None, LINE, "s1"), (None, LINE, "s2"), (7, None, "s3"), (8, "", "s1"), (8, " \n \n", "s1"), (300, "Menu", "s1")]
+    rows = [*few, *short, *copies, *mixed, *odd]
+    want = brute_lines(rows)
+    found = line_dedup.remove_boilerplate(make_documents(rows)).collect()
+    got = sorted((repr(r.doc_id), r.text or "") for r in found)
+    assert got == sorted((repr(i), want[i, text] or "") for i, text, _ in rows)
+    texts = {r.doc_id: r.text for r in found}
+    assert texts[5] == LINE + "\nsome more of text 5 for here"
+    assert [texts[200], texts[208]] == ["a whole text that was copied\nas it stands to all the sites", ""]
+    assert texts[140] == "own 10\n\tShare\n---" and "Subscribe" not in texts[110]
+
+
+def test_one_very_long_text_of_lines(make_documents):
+    line = "one and the same line of a long text"
+    rows = [(i, "\n".join([line] * (20_000 if i == 3 else 2)), f"s{i}") for i in range(6)]
+    found = {r.doc_id: r.text for r in line_dedup.remove_boilerplate(make_documents(rows)).collect()}
+    assert found == {0: line} | dict.fromkeys(range(1, 6), "")
 
 
 def test_spread_near_the_limit_is_exact(make_documents):
