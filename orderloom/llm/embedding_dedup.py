@@ -94,7 +94,8 @@ def packed_vector(numbers: list[float], kind: str) -> bytes:
 
 def classes_of(rows: DataFrame) -> tuple[DataFrame, str]:
     """(node, family, size, first_id, vec) of each distinct valid vector of a label, and the number
-    type of ``vec``. Vectors of a family, one label and length, are compared."""
+    type of ``vec``. Vectors of a family, one label and length, are compared. ``node`` is a number
+    of the class's own, fixed once it is stored; ids of rows may repeat over classes."""
     element = rows.schema["embedding"].dataType.elementType
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
     number = F.col("embedding")
@@ -111,7 +112,7 @@ def classes_of(rows: DataFrame) -> tuple[DataFrame, str]:
         .groupBy("label", "embedding")
         .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("size"))
         .select(
-            F.coalesce("first_id", F.xxhash64("label", "embedding")).alias("node"),
+            F.monotonically_increasing_id().alias("node"),
             F.concat_ws(":", "label", F.size("embedding")).alias("family"),
             "size",
             "first_id",
@@ -745,7 +746,8 @@ def near_duplicates(
     tells whether it is the row's own. Rows whose label or vector is null, whose vector is empty,
     zero or holds a null or non-finite number link with nothing and are their own component.
     Equal vectors of a label are one class before anything is compared, so copies, repeated rows
-    among them, are never paired. Rows without a vec_id are never the smallest. ``report`` gets the
+    among them, are never paired. Different vectors under one vec_id are rows of their own, which may
+    link with each other. Rows without a vec_id are never the smallest. ``report`` gets the
     audited recall of each attempt, and 1 after all pairs were compared. An empty table gives no rows.
     """
     given = Positions(vectors).pick("vec_id", "embedding", "label")

@@ -224,7 +224,12 @@ def test_lost_small_groups_are_seen_beside_a_large_one(spark, monkeypatch):
         at = rng.normal(size=16)
         rows += [(1000 + 2 * k + i, (at + 0.005 * i).tolist(), 1) for i in range(2)]
     whole, recalls = embedding_dedup.neighbour_lists, []
-    monkeypatch.setattr(embedding_dedup, "neighbour_lists", lambda *a: whole(*a).filter("u < 1000"))
+
+    def only_large(classes, *others):
+        large = classes.filter("first_id < 1000").select(F.col("node").alias("u"))
+        return whole(classes, *others).join(large, "u", "left_semi")
+
+    monkeypatch.setattr(embedding_dedup, "neighbour_lists", only_large)
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     found = embedding_dedup.near_duplicates(frame, report=recalls.append).collect()
     pairs = {r.vec_id: (r.n_links, r.component_id) for r in found if r.vec_id >= 1000}
@@ -242,7 +247,20 @@ def test_crowded_leaves_are_split_around_their_mean(spark):
     crowded = embedding_dedup.crowded_leaves(leaves)
     split = embedding_dedup.split_leaves(leaves, crowded, classes, kind, 0).collect()
     sizes = [len([r for r in split if r.leaf == leaf]) for leaf in {r.leaf for r in split}]
-    assert sorted(r.node for r in split) == list(range(1000)) and max(sizes) < 500
+    nodes = sorted(r.node for r in classes.select("node").collect())
+    assert sorted(r.node for r in split) == nodes and len(set(nodes)) == 1000 and max(sizes) < 500
+
+
+def test_one_id_of_several_vectors_and_labels(spark):
+    rng = np.random.default_rng(3)
+    one, other, third = (rng.normal(size=8) for _ in range(3))
+    rows = [(1, one.tolist(), 1), (1, other.tolist(), 1), (1, third.tolist(), 2)]
+    rows += [(2, (one + 0.001).tolist(), 1), (3, (other + 0.001).tolist(), 1), (0, (third + 0.001).tolist(), 2)]
+    check_embeddings(spark, rows)
+    rows += [(k % 7, (one + 0.05 * k * rng.normal(size=8)).tolist(), k % 3) for k in range(60)] * 2
+    check_embeddings(spark, rows)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    assert embedding_dedup.near_duplicates(frame).count() == len(rows)
 
 
 def test_odd_vectors(spark):
