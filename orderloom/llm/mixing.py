@@ -121,10 +121,15 @@ def mix(docs: DataFrame, partitions: int | None = None, **how) -> DataFrame:
 
 
 def shuffled(copies: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Globally shuffled: ranges of a random key, in its order."""
-    by = [F.col("shuffle_key")]
-    ranged = copies.repartitionByRange(*([partitions] if partitions else []), *by)
-    return ranged.sortWithinPartitions(*by)
+    """Globally shuffled: ranges of a random key, in its order.
+
+    The key is uniform, so equal ranges of it are of equal size; nothing is sampled, which would
+    draw all copies twice.
+    """
+    count = partitions or int(copies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leading = F.conv(F.substring("shuffle_key", 1, 8), 16, 10).cast("long")
+    place = (leading * count / F.lit(1 << 32)).cast("int")
+    return copies.repartitionById(count, place).sortWithinPartitions("shuffle_key")
 
 
 def replication(docs: DataFrame, **how) -> DataFrame:

@@ -1,8 +1,9 @@
 """Packing of documents into sequences of a fixed length, as a cutting-stock problem.
 
-Documents are cut into whole and half sequences and a rest. The pieces are counted by size class, a linear
-program over the counts finds patterns of classes that fill a sequence, and the pieces of a class,
-ranked over the whole corpus, take the places that the patterns have for it.
+Documents are cut into whole and half sequences and a rest. The pieces are counted by size, sizes
+are joined into classes, a linear program over the counts finds patterns of classes that fill a
+sequence, and the pieces of a class, ranked over the whole corpus, take the places that the
+patterns have for it.
 """
 
 from __future__ import annotations
@@ -17,20 +18,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.llm.cutting_stock import cut, places
+from orderloom.llm.cutting_stock import classes, cut, places
 from orderloom.llm.word_tokens import encoder
-from orderloom.llm.work import Positions, few, stage
+from orderloom.llm.work import Positions, discard, few, stage
 
 LENGTH = 2048
-#: Tokens in a unit of size: a piece takes up whole units when patterns are made, so that there
-#: are at most LENGTH / UNIT classes. The sequence itself holds the pieces without gaps.
-UNIT = 8
 #: Id put after each document.
 END_ID = 1
 
 PIECES = (
-    "start long, length long, ids_crc32 long, doc_tokens long, part int, size int, "
-    "rank_in_part long"
+    "start long, length long, ids_crc32 long, doc_tokens long, part int, rank_in_part long"
 )
 
 
@@ -51,7 +48,7 @@ def cuts(tokens: int, length: int) -> Iterator[tuple[int, int]]:
         start += count
 
 
-def pieces(docs: DataFrame, path: str, length: int, unit: int, end_id: int) -> DataFrame:
+def pieces(docs: DataFrame, path: str, length: int, end_id: int) -> DataFrame:
     """A row for each piece of each document. ``rank_in_part`` counts the pieces of a size that
     the same task wrote before; with the task's number it names the piece."""
 
@@ -63,13 +60,12 @@ def pieces(docs: DataFrame, path: str, length: int, unit: int, end_id: int) -> D
                 ids = memoryview(document_ids(text.as_py(), path, end_id))
                 tokens = len(ids) // 4
                 for start, count in cuts(tokens, length):
-                    size = -(-count // unit)
                     check = crc32(ids[4 * start : 4 * (start + count)])
-                    rows.append((start, count, check, tokens, part, size, seen[size]))
+                    rows.append((start, count, check, tokens, part, seen[count]))
                     rows_of.append(i)
-                    seen[size] += 1
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            kinds = [pa.int32() if n in (4, 5) else pa.int64() for n in range(7)]
+                    seen[count] += 1
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = [pa.int32() if n == 4 else pa.int64() for n in range(6)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(pa.array(rows_of, pa.int64())),
@@ -84,7 +80,7 @@ def pieces(docs: DataFrame, path: str, length: int, unit: int, end_id: int) -> D
 
 
 def pack(
-    docs: DataFrame, path: str, length: int = LENGTH, unit: int = UNIT, end_id: int = END_ID
+    docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -93,33 +89,41 @@ def pack(
     Offsets in a sequence are gapless from 0; its end is padded by the reader. An empty table
     gives no rows. ``path`` names a tokenizer file that every executor has.
     """
-    cutting = stage(pieces(docs, path, length, unit, end_id), "pieces")
-    counts = stage(cutting.groupBy("part", "size").agg(F.count("*").alias("n")), "piece-counts")
-    histogram = sorted(tuple(r) for r in counts.groupBy("size").agg(F.sum("n")).collect())
+    cutting = stage(pieces(docs, path, length, end_id), "pieces")
+    counts = stage(cutting.groupBy("part", "length").agg(F.count("*").alias("n")), "piece-counts")
+    histogram = sorted(tuple(r) for r in counts.groupBy("length").agg(F.sum("n")).collect())
     sizes = np.array([s for s, _ in histogram], np.int64)
     demand = np.array([n for _, n in histogram], np.int64)
-    table = places(cut(sizes, demand, length // unit), sizes)
+    class_of_size = classes(sizes, demand)
+    class_sizes, class_of = np.unique(class_of_size, return_inverse=True)
+    class_demand = np.bincount(class_of, demand, len(class_sizes)).astype(np.int64)
+    table = places(cut(class_sizes, class_demand, length), class_sizes)
+    # The pieces of a class are ranked size by size.
+    of_size, first_rank = np.zeros(length + 1, np.int64), np.zeros(length + 1, np.int64)
+    of_size[sizes] = class_of_size
+    first_rank[sizes] = np.cumsum(demand) - demand
+    first_rank[sizes] -= first_rank[sizes[np.searchsorted(class_of, np.arange(len(class_sizes)))]][class_of]
     before = F.sum("n").over(
-        Window.partitionBy("size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = stage(
-        counts.select("part", "size", F.coalesce(before, F.lit(0)).alias("before")), "piece-ranks"
+        counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("before")), "piece-ranks"
     )
-    ranked = cutting.join(few(offsets), ["part", "size"]).select(
+    discard(counts)
+    ranked = cutting.join(few(offsets), ["part", "length"]).select(
         "doc_id",
         "start",
         "length",
         "ids_crc32",
         "doc_tokens",
-        "size",
         (F.col("before") + F.col("rank_in_part")).alias("rank"),
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = table["size"] << 44 | table["rank"]
         for batch in batches:
-            rank = batch.column("rank").to_numpy()
-            size = batch.column("size").to_numpy().astype(np.int64)
+            count = batch.column("length").to_numpy()
+            size, rank = of_size[count], batch.column("rank").to_numpy() + first_rank[count]
             at = np.searchsorted(key, size << 44 | rank, side="right") - 1
             over, each = rank - table["rank"][at], table["each"][at]
             yield pa.RecordBatch.from_arrays(

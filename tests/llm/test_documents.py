@@ -342,6 +342,45 @@ def test_packing_of_odd_rows(make_documents):
     assert packing.pack(docs.limit(0), TOKENIZER).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [[1], [2], [9], list(range(1, 31)), list(range(1, 101)), list(range(1, 1025))])
+def test_padding_of_short_and_mixed_pieces(sizes):
+    rng = np.random.default_rng(len(sizes))
+    pieces = rng.choice(sizes, 100_000)
+    sizes, demand = np.unique(pieces, return_counts=True)
+    of_size = cutting_stock.classes(sizes, demand)
+    classes, number = np.unique(of_size, return_inverse=True)
+    assert (of_size >= sizes).all() and len(classes) <= cutting_stock.CLASSES
+    chosen = cutting_stock.cut(classes, np.bincount(number, demand).astype(np.int64), 2048)
+    bound = -(-int(demand @ sizes) // 2048)
+    assert sum(n for n, _ in chosen) <= 1.02 * bound + 1
+
+
+def test_classes_waste_little_and_keep_the_largest():
+    sizes, demand = np.arange(1, 41), np.full(40, 10)
+    demand[[6, 30]] = 100_000
+    joined = cutting_stock.classes(sizes, demand, 10)
+    assert set(np.unique(joined)) >= {7, 31, 40} and len(np.unique(joined)) == 10
+    assert cutting_stock.classes(sizes, demand, 40).tolist() == sizes.tolist()
+    assert cutting_stock.classes(sizes[:0], demand[:0]).tolist() == []
+
+
+@pytest.mark.parametrize(("text", "times"), [("a b", 5000), ("", 3000), ("one two three four five", 700)])
+def test_packing_of_equal_short_documents(spark, text, times):
+    docs = spark.range(times).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+    packed = packing.pack(docs, TOKENIZER)
+    found = packed.agg(F.sum("length").alias("n"), F.count_distinct("sequence_id").alias("used")).first()
+    assert packed.count() == times and found.used <= 1.02 * -(-found.n // 2048) + 1
+
+
+def test_packing_joins_sizes_into_classes(spark, monkeypatch):
+    joined = cutting_stock.classes
+    monkeypatch.setattr(packing, "classes", lambda sizes, demand: joined(sizes, demand, 3))
+    docs = spark.range(300).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('word ', cast(id % 40 as int))").alias("text")
+    )
+    assert check_packing(packing.pack(docs, TOKENIZER), docs) < 0.5
+
+
 def test_patterns_meet_the_demand_exactly():
     random.seed(8)
     for _ in range(20):
