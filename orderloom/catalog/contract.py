@@ -136,6 +136,66 @@ def contract_messages(spark, folder):
     return contract.judge(documents).select("line_number", "error", "order_id")
 
 
+def _documents(spark, folder):
+    """Raw documents of orders with their own lines, parts by name, and literals in ``extra``.
+
+    Orders without lines and repeated line numbers break the contract as they are; a few statuses,
+    currencies and amounts are wrong by key.
+    """
+    key, price = F.col("o_orderkey"), '{"gross":{"amount":%s,"currency":"USD"}}'
+    amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    each = (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(18,2)").cast("string")
+    sku = F.when(F.col("l_partkey") % 50 == 0, "null").otherwise(F.format_string('"P%d"', "l_partkey"))
+    line = F.format_string(
+        '{"id":"%d","productName":"%s","productSku":%s,"quantity":%d,"unitPrice":'
+        + price + ',"totalPrice":' + price + "}",
+        "l_linenumber", "p_name", sku, F.col("l_quantity").cast("int"), each, amount,
+    )
+    parts = star.table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    lines = (
+        star.table(spark, folder, "lineitem")
+        .join(parts, "l_partkey")
+        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        .agg(F.array_join(F.collect_list(line), ",").alias("lines"))
+    )
+    literals = F.array(
+        *[F.lit(x) for x in ("NaN", "[-Infinity]", "9" * 1100, '"NaN \\" Infinity"', '{"x":NaN}', "1")]
+    )
+    total = F.when(key % 17 == 5, "NaN").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    document = F.format_string(
+        '{"id":"%d","number":"#%d","created":"%s","updatedAt":"%s","status":"%s","channel":{"slug":"%s",'
+        '"currencyCode":"usd"},"total":{"gross":{"amount":%s,"currency":"%s"}},"lines":[%s],"extra":%s}',
+        key, key, at, at,
+        F.when(key % 13 == 4, "shipped").otherwise("FULFILLED"), "o_orderpriority",
+        total, F.when(key % 11 == 3, "EUR").otherwise("USD"),
+        F.coalesce("lines", F.lit("")), F.get(literals, (key % 6).cast("int")),
+    )
+    orders = star.table(spark, folder, "orders").join(lines, "o_orderkey", "left")
+    return orders.select(key.alias("line_number"), document.alias("raw"))
+
+
+def contract_documents(spark, folder):
+    """What the contract says about documents of orders, line items and parts."""
+    judged = contract.judge(_documents(spark, folder))
+
+    def total(name, kind):
+        start = F.lit(0).cast(kind)
+        return F.aggregate("lines", start, lambda x, line: (x + line[name]).cast(kind)).alias(name)
+
+    names = F.array_sort(F.col("lines")["product_name"])
+    return judged.select(
+        "line_number",
+        "error",
+        "total_amount",
+        F.when(F.col("error").isNull(), F.size("lines")).alias("n_lines"),
+        total("quantity", "bigint"),
+        total("line_amount", "decimal(38,2)"),
+        F.size(F.filter("lines", lambda line: line["sku"].isNull())).alias("n_without_sku"),
+        F.array_join(names, "|").alias("product_names"),
+    )
+
+
 def sorted_lines(spark, folder):
     """Line IDs of each accepted order in canonical order."""
     ids = F.array_join(F.col("lines")["line_id"], ",").alias("line_ids")
@@ -261,6 +321,7 @@ QUERIES = {
     "contract_accepted_lines": contract_accepted_lines,
     "contract_reject_reasons": contract_reject_reasons,
     "contract_messages": contract_messages,
+    "contract_documents": contract_documents,
     "sorted_lines": sorted_lines,
     "line_sort_stability": line_sort_stability,
     "payload_hash": payload_hash,
@@ -291,6 +352,29 @@ SQL = {
           )} END AS error,
           CASE WHEN o_orderkey % {len(_FAULTS) + 1} = 0 THEN CAST(o_orderkey AS VARCHAR) END AS order_id
         FROM orders""",
+    "contract_documents": """
+        WITH lines_v AS (
+          SELECT l_orderkey, count(*) AS n, count(DISTINCT l_linenumber) AS ids,
+            CAST(sum(CAST(l_quantity AS INTEGER)) AS BIGINT) AS quantity,
+            CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS line_amount,
+            count(*) FILTER (l_partkey % 50 = 0) AS without_sku,
+            string_agg(p_name, '|' ORDER BY p_name) AS names
+          FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1),
+        judged_v AS (
+          SELECT *, CASE WHEN n IS NULL THEN 'lines must contain at least one line'
+            WHEN ids < n THEN 'line IDs must be unique strings'
+            WHEN o_orderkey % 13 = 4 THEN 'unsupported order status'
+            WHEN o_orderkey % 11 = 3 THEN 'total.gross currency must match order currency'
+            WHEN o_orderkey % 17 = 5 THEN 'total.gross.amount must be numeric' END AS error
+          FROM orders LEFT JOIN lines_v ON l_orderkey = o_orderkey)
+        SELECT o_orderkey AS line_number, error,
+          CASE WHEN error IS NULL THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS total_amount,
+          CASE WHEN error IS NULL THEN CAST(n AS INTEGER) END AS n_lines,
+          CASE WHEN error IS NULL THEN quantity END AS quantity,
+          CASE WHEN error IS NULL THEN line_amount END AS line_amount,
+          CASE WHEN error IS NULL THEN CAST(without_sku AS INTEGER) END AS n_without_sku,
+          CASE WHEN error IS NULL THEN names END AS product_names
+        FROM judged_v""",
     "sorted_lines": with_views(
         views.RAW_ORDERS,
         """

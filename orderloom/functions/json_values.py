@@ -8,15 +8,61 @@ from pyspark.sql import functions as F
 from orderloom.functions.binding import let
 
 
+#: Stands for numbers that the parser does not take: a number, not empty, in no range, no integer.
+_OUT_OF_RANGE = "1e300"
+#: Number literals outside strings that valid records may hold in fields nobody reads. A whole
+#: number of more than 4,300 digits is none of them.
+_NOT_FINITE = r"(?<![\w.+-])(?:NaN|-?Infinity)(?![\w.])"
+_LONG_WHOLE = r"(?<![\w.+-])-?[1-9][0-9]{300,4299}(?![\w.])"
+_LONG_MANTISSA = r"(?<![\w.+-])-?[1-9][0-9]{300,}+(?:\.[0-9]++(?:[eE]\+?[0-9]++)?|[eE]\+?[0-9]++)(?![\w.-])"
+_LONG_FRACTION = r"(\.[0-9]{100})[0-9]++"
+_LONG_EXPONENT = r"([0-9][eE][+-]?)0*+([0-9]{4})[0-9]++"
+_ODD_LITERAL = r"NaN|Infinity|[0-9]{301}|[eE][+-]?[0-9]{5}"
+#: Stand for an escaped backslash and an escaped quote; raw control characters are not JSON.
+_BACKSLASH, _QUOTE = "\x01", "\x02"
+
+
+def with_plain_literals(raw: Column) -> Column:
+    """The line with the numbers that the parser refuses replaced, outside of strings.
+
+    ``NaN``, ``Infinity`` and numbers of very many digits become numbers it takes: out of range
+    where they were, else cut to more digits than matter. Strings keep every character: with
+    escapes out of the way, the quotes part the line into what is outside (the first piece and
+    every second one) and inside of strings. Null for a line with the characters that stand for
+    escapes meanwhile.
+    """
+    plain = F.replace(raw, F.lit("\\\\"), F.lit(_BACKSLASH))
+    plain = F.replace(plain, F.lit('\\"'), F.lit(_QUOTE))
+
+    def outside(piece):
+        for pattern in (_NOT_FINITE, _LONG_WHOLE, _LONG_MANTISSA):
+            piece = F.regexp_replace(piece, pattern, _OUT_OF_RANGE)
+        piece = F.regexp_replace(piece, _LONG_FRACTION, "$1")
+        return F.regexp_replace(piece, _LONG_EXPONENT, "$1$2")
+
+    pieces = F.transform(
+        F.split(plain, '"'), lambda piece, i: F.when(i % 2 == 0, outside(piece)).otherwise(piece)
+    )
+    joined = F.replace(F.array_join(pieces, '"'), F.lit(_QUOTE), F.lit('\\"'))
+    joined = F.replace(joined, F.lit(_BACKSLASH), F.lit("\\\\"))
+    return F.when(~raw.rlike(f"[{_BACKSLASH}{_QUOTE}]"), joined)
+
+
 def parse_line(raw: Column) -> Column:
     """Parse one line as ``[record, check]``.
 
     The JSON parser stops after the first value, so text after it would pass
     unseen. With the line's own hash as second element, ``is_whole`` is true only
-    when the line held exactly one value.
+    when the line held exactly one value. A refused line with odd number literals is tried a
+    second time without them.
     """
-    check = F.xxhash64(raw).cast("string")
-    return F.try_parse_json(F.concat(F.lit("["), raw, F.lit(","), check, F.lit("]")))
+    check = F.concat(F.lit(","), F.xxhash64(raw).cast("string"), F.lit("]"))
+
+    def parsed(text):
+        return F.try_parse_json(F.concat(F.lit("["), text, check))
+
+    again = F.when(raw.rlike(_ODD_LITERAL), let(with_plain_literals(raw), parsed))
+    return F.coalesce(parsed(raw), again)
 
 
 def is_whole(document: Column, raw: Column) -> Column:
