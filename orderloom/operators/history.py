@@ -54,11 +54,13 @@ def order_versions(history: DataFrame) -> DataFrame:
     return history.select(*ORDER_VERSION_COLUMNS)
 
 
-def line_versions(history: DataFrame) -> DataFrame:
-    """Staging view of line versions: one row per line of every stored version."""
-    return history.select("order_id", "payload_hash", "snapshot_id", F.inline("lines")).select(
-        *LINE_VERSION_COLUMNS
-    )
+def line_versions(history: DataFrame, *others: str) -> DataFrame:
+    """Staging view of line versions: one row per line of every stored version.
+
+    ``others`` are further columns of the version that its lines keep.
+    """
+    lines = history.select("order_id", "payload_hash", "snapshot_id", *others, F.inline("lines"))
+    return lines.select(*LINE_VERSION_COLUMNS, *others)
 
 
 def current_orders(versions: DataFrame) -> DataFrame:
@@ -77,6 +79,21 @@ def current_orders(versions: DataFrame) -> DataFrame:
     )
 
 
+def replacements(state: DataFrame, added: DataFrame) -> DataFrame:
+    """``(order_id, old_part, part)`` of the orders that versions of new snapshots change.
+
+    ``state`` has one row per order and its ``part``; ``added`` the latest of the new versions of an
+    order. They come from other snapshots than the state, so the snapshot decides between versions
+    of one time. ``old_part`` is null for an order that is new.
+    """
+    old = state.select(
+        "order_id", F.col("part").alias("old_part"), F.struct("updated_at", "snapshot_id").alias("_old")
+    )
+    new = added.select("order_id", "part", F.struct("updated_at", "snapshot_id").alias("_new"))
+    later = F.col("_old").isNull() | (F.col("_new") > F.col("_old"))
+    return new.join(old, "order_id", "left").filter(later).select("order_id", "old_part", "part")
+
+
 def current_order_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines of the chosen versions, by join on the flattened history."""
     chosen = orders.select("order_id", "snapshot_id", "payload_hash")

@@ -48,3 +48,46 @@ def daily_product_metrics(lines: DataFrame, orders: DataFrame) -> DataFrame:
 def daily_product_metrics_nested(orders: DataFrame) -> DataFrame:
     """The same from orders that carry their lines nested: no join."""
     return _product_totals(counted(orders).select(*ORDER_GROUP, F.inline("lines")))
+
+
+def _totalled(rows: DataFrame, groups: tuple[str, ...], number: str) -> DataFrame:
+    totals = rows.groupBy(*groups).agg(
+        F.sum(number).cast("bigint").alias(number), F.sum("gross_amount").cast(SUM_MONEY).alias("gross_amount")
+    )
+    return totals.filter(F.col(number) != 0)
+
+
+def maintained_daily(before: DataFrame, retracted: DataFrame, added: DataFrame) -> DataFrame:
+    """Daily order metrics after some orders were replaced: old versions out, new ones in.
+
+    ``before`` are the metrics so far; a group without orders left goes.
+    """
+
+    def signed(orders: DataFrame, sign: int) -> DataFrame:
+        gross = (F.col("total_amount") * sign).cast(SUM_MONEY).alias("gross_amount")
+        return counted(orders).select(*ORDER_GROUP, F.lit(sign).cast("bigint").alias("order_count"), gross)
+
+    rows = before.select(*ORDER_GROUP, "order_count", "gross_amount")
+    totals = _totalled(
+        rows.unionByName(signed(retracted, -1)).unionByName(signed(added, 1)), ORDER_GROUP, "order_count"
+    )
+    average = F.col("gross_amount").cast("double") / F.col("order_count")
+    return totals.withColumn("average_order_value", average)
+
+
+def maintained_products(before: DataFrame, retracted: DataFrame, added: DataFrame) -> DataFrame:
+    """Daily product metrics likewise, from orders that carry their lines nested.
+
+    Every line has a quantity of at least one, so a group without units has no lines left.
+    """
+
+    def signed(orders: DataFrame, sign: int) -> DataFrame:
+        lines = counted(orders).select(*ORDER_GROUP, F.inline("lines"))
+        units = (F.col("quantity").cast("bigint") * sign).alias("units_ordered")
+        gross = (F.col("line_amount") * sign).cast(SUM_MONEY).alias("gross_amount")
+        return lines.select(*PRODUCT_GROUP, units, gross)
+
+    rows = before.select(*PRODUCT_GROUP, "units_ordered", "gross_amount")
+    return _totalled(
+        rows.unionByName(signed(retracted, -1)).unionByName(signed(added, 1)), PRODUCT_GROUP, "units_ordered"
+    )
