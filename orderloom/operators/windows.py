@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions import timestamps
@@ -15,12 +15,20 @@ NO_MARK = "the source has no published high-water mark to continue from"
 CLOCK_BEHIND = "the clock is behind the published high-water mark"
 
 
-def bounds(
-    spark: SparkSession, mode: str, start: str | None, end: str | None
-) -> tuple[str | None, str | None]:
+def _utc_bound(text: str | None) -> str | None:
+    """The bound text of an ISO time with offset zero, null for anything else."""
+    try:
+        moment = datetime.fromisoformat(text)
+    except (TypeError, ValueError):
+        return None
+    return moment.astimezone(UTC).isoformat() if moment.utcoffset() == timedelta(0) else None
+
+
+def bounds(mode: str, start: str | None, end: str | None) -> tuple[str | None, str | None]:
     """The bounds of a request as bound texts, both null unless it is a backfill.
 
-    Raises one ``ValueError`` that lists all that is wrong with the request.
+    They are constants of a plan and need no job. Raises one ``ValueError`` that lists all that is
+    wrong with the request.
     """
     given = {"start": start, "end": end}
     problems = [] if mode in MODES else [f"mode {mode!r} is none of {', '.join(MODES)}"]
@@ -28,21 +36,13 @@ def bounds(
         problems += [f"{name} has no use in mode {mode}" for name, text in given.items() if text]
         found = {}
     else:
-        times = {name: timestamps.utc_timestamp(F.lit(text)) for name, text in given.items()}
-        row = spark.range(1).select(
-            *[
-                F.when(timestamps.is_utc(F.lit(given[name])), timestamps.bound_text(time)).alias(name)
-                for name, time in times.items()
-            ],
-            (times["start"] < times["end"]).alias("ordered"),
-        ).first()
-        found = {name: row[name] for name in given}
+        found = {name: _utc_bound(text) for name, text in given.items()}
         problems += [
             f"{name} must be a time with UTC offset zero, not {given[name]!r}"
             for name, text in found.items()
             if text is None
         ]
-        if not problems and not row["ordered"]:
+        if not problems and not datetime.fromisoformat(found["start"]) < datetime.fromisoformat(found["end"]):
             problems.append(f"an empty range: {start} is not before {end}")
     if problems:
         raise ValueError("; ".join(problems))
@@ -67,7 +67,7 @@ def plan_windows(
     ``[start, end)`` and never advances the mark. ``problem`` says why a window cannot
     be used and is null for a usable one.
     """
-    first, last = bounds(marks.sparkSession, mode, start, end)
+    first, last = bounds(mode, start, end)
     mark = timestamps.utc_timestamp(F.col("base_watermark"))
     none = F.lit(None).cast("string")
     if mode == "backfill":
