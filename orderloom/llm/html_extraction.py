@@ -122,12 +122,15 @@ def tokens(html: str) -> list[Token]:
     inline elements and paragraphs also end at the next block."""
     found: list[Token] = []
     stack: list[tuple[str, str]] = []  # name, and what the element is: a place or ""
-    inside = Counter()
+    # How many elements are open of each place, and of each name: an end tag without one is passed by.
+    inside, opened = Counter(), Counter()
     at, size = 0, len(html)
 
     def leave(depth: int) -> None:
         while len(stack) > depth:
-            inside[stack.pop()[1]] -= 1
+            name, kind = stack.pop()
+            inside[kind] -= 1
+            opened[name] -= 1
 
     def place() -> str:
         return next((p for p in (IN_ASIDE, "article", "main") if inside[p]), BESIDE)
@@ -146,10 +149,9 @@ def tokens(html: str) -> list[Token]:
         while block and stack and stack[-1][0] in INLINE:
             leave(len(stack) - 1)
         if match["close"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             found.append(Token(name, "", place(), block, True))
-            if depth is not None:
-                leave(depth)
+            if opened[name]:
+                leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             continue
         if stack and (stack[-1][0] == "p" and block or stack[-1][0] == name == "li"):
             leave(len(stack) - 1)
@@ -163,6 +165,7 @@ def tokens(html: str) -> list[Token]:
             if kind or name not in LIGHT:
                 stack.append((name, kind))
                 inside[kind] += 1
+                opened[name] += 1
     # An article counts before the main element around it; without either, any text may do.
     marked = next((k for k in ("article", "main") if any(t.place == k and t.words for t in found)), "")
     for token in found:
@@ -175,6 +178,11 @@ def tokens(html: str) -> list[Token]:
 def set_shapes(page: list[Token]) -> None:
     """Give each text run of a page its shape."""
     open_blocks, link, run = [""], False, []
+    opened = Counter()
+
+    def close() -> str:
+        opened[open_blocks[-1]] -= 1
+        return open_blocks.pop()
 
     def end_block() -> None:
         words = sum(token.words for token, _ in run)
@@ -195,10 +203,11 @@ def set_shapes(page: list[Token]) -> None:
             link = False
             if not token.closes:
                 if token.name in ("p", "li") and open_blocks[-1] == token.name or open_blocks[-1] == "p":
-                    open_blocks.pop()
+                    close()
                 open_blocks.append(token.name)
-            elif token.name in open_blocks:
-                while open_blocks.pop() != token.name:
+                opened[token.name] += 1
+            elif opened[token.name]:
+                while close() != token.name:
                     pass
     end_block()
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
@@ -248,14 +249,25 @@ def fit(docs: DataFrame, training_texts: int = TRAINING_TEXTS) -> Field:
     return train([tuple(json.loads(line)) for line in lines])
 
 
+def apart(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans that touch none of those ``taken``, which are joined first and then searched."""
+    starts, ends = [], []
+    for start, end in sorted(taken):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    # The first joined span that ends behind the start of a span is the only one it can touch first.
+    at = [bisect_right(ends, start) for start, _ in spans]
+    return [s for s, k in zip(spans, at, strict=True) if k == len(starts) or starts[k] >= s[1]]
+
+
 def find(text: str | None, field: Field) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans: the base ones and what the field adds beside them."""
     text = text or ""
     base = base_spans(text)
-    taken = [(s, e) for _, s, e in base]
-    spans = [
-        c for c in candidates(text) if not any(c[0] < e and s < c[1] for s, e in taken)
-    ]
+    spans = apart(candidates(text), [(s, e) for _, s, e in base])
     added = []
     if spans:
         scores = field.scores([span_features(text, s, e) for s, e in spans]) - MARGIN

@@ -506,6 +506,17 @@ def test_detection_keeps_base_spans_and_adds_secrets(spark, make_documents):
     assert pii.find("a1" * 10, pii.fit(docs.limit(0)))[1] == []
 
 
+def test_candidates_apart_from_base_spans():
+    random.seed(5)
+    for _ in range(500):
+        spans = sorted((a, a + random.randint(1, 9)) for a in random.choices(range(60), k=6))
+        taken = [(a, a + random.randint(1, 9)) for a in random.choices(range(60), k=random.randrange(5))]
+        apart = [s for s in spans if not any(s[0] < e and b < s[1] for b, e in taken)]
+        assert pii.apart(spans, taken) == apart
+    text = "mail a1@b2.de or key 1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae " * 20_000
+    assert len(pii.find(text, pii.Field({}))[0]) == 20_000
+
+
 def test_field_probabilities_match_enumeration():
     rng = np.random.default_rng(2)
     spans = [(0, 3), (2, 5), (4, 8), (5, 9), (9, 12)]

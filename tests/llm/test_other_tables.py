@@ -1,6 +1,7 @@
 """Operators on pages, conversations and embeddings, and their registered queries."""
 
 import random
+import time
 from collections import Counter
 from hashlib import sha256
 
@@ -57,6 +58,13 @@ def test_odd_pages(html, text):
     assert html_extraction.main_text(html, {}) == text
 
 
+def test_many_unmatched_end_tags_and_open_elements_take_linear_time():
+    deep = "<article>" + "<div>" * 40_000 + "text" + "</section></b>" * 40_000 + "</article>"
+    started = time.monotonic()
+    assert html_extraction.main_text(deep, {}) == "text"
+    assert time.monotonic() - started < 20
+
+
 def test_best_region_against_all_regions(spark):
     random.seed(5)
     weights = {"word article": 2.0, "tag p unmarked": -1.5, "tag div unmarked": -4.0}
