@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -11,7 +12,8 @@ from orderloom.catalog import views
 from orderloom.catalog.views import with_views
 from orderloom.functions import hashing, timestamps
 from orderloom.operators import history, lineage, metrics, releases, windows
-from orderloom.sources import pages
+from orderloom.session import shared_folder
+from orderloom.sources import clustered, pages
 from orderloom.sources import star_tables as star
 
 
@@ -62,6 +64,38 @@ def window_read_half_open(spark, folder):
     return windows.read_window(orders, window, "o_orderdate")
 
 
+_CLUSTERED = {
+    "a month": {"mode": "backfill", "lower": "1996-03-01T00:00:00+00:00", "upper": "1996-04-01T00:00:00+00:00"},
+    "a day": {"mode": "incremental", "lower": "1995-07-04T00:00:00+00:00", "upper": "1995-07-04T23:59:55+00:00"},
+    "a turn of the year": {
+        "mode": "backfill", "lower": "1994-12-31T23:55:00+00:00", "upper": "1995-01-02T00:00:00+00:00",
+    },
+    "all up to 1993": {"mode": "full", "lower": None, "upper": "1993-01-01T00:00:00+00:00"},
+}
+
+
+def clustered_windows(spark, folder):
+    """Rows and amounts of windows over orders landed by update month, and how much each reads."""
+    orders = star.table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    path = f"{shared_folder(spark).rstrip('/')}/clustered-{uuid.uuid4().hex}"
+    clustered.write_clustered(orders, path, "o_orderdate")
+    everything = clustered.folders_read(spark.read.parquet(path))
+    gross = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(38,2)")
+    found = []
+    for name, window in _CLUSTERED.items():
+        rows = clustered.read_clustered(spark, path, orders.schema, window, "o_orderdate")
+        found.append(
+            rows.agg(
+                F.lit(name).alias("window_name"),
+                F.count(F.lit(1)).alias("n_records"),
+                gross.alias("gross_amount"),
+                F.lit(clustered.folders_read(rows)).alias("folders_read"),
+                F.lit(everything).alias("folders"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def source_update_order(spark, folder):
     events = star.table(spark, folder, "events").select("event_id", "ts", "user_id")
     return windows.in_update_order(events, "ts", "event_id")
@@ -309,6 +343,7 @@ QUERIES = {
     "window_read_inclusive": window_read_inclusive,
     "window_read_half_open": window_read_half_open,
     "source_update_order": source_update_order,
+    "clustered_windows": clustered_windows,
     "page_nodes": page_nodes,
     "page_chain": page_chain,
     "page_order": page_order,
@@ -419,6 +454,21 @@ SQL = {
     "window_read_half_open": """
         SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1996-03-01'
           AND o_orderdate < TIMESTAMP '1996-04-01'""",
+    "clustered_windows": """
+        WITH bounds_v(window_name, lower_at, upper_at) AS (VALUES
+          ('a month', TIMESTAMP '1996-03-01', TIMESTAMP '1996-03-31 23:59:59.999999'),
+          ('a day', TIMESTAMP '1995-07-04', TIMESTAMP '1995-07-04 23:59:55'),
+          ('a turn of the year', TIMESTAMP '1994-12-31 23:55:00', TIMESTAMP '1995-01-01 23:59:59.999999'),
+          ('all up to 1993', TIMESTAMP '1900-01-01', TIMESTAMP '1993-01-01')),
+        months_v AS (
+          SELECT date_trunc('month', o_orderdate) AS m FROM orders GROUP BY 1)
+        SELECT window_name, (SELECT count(*) FROM orders WHERE o_orderdate BETWEEN lower_at AND upper_at) AS n_records,
+          (SELECT CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) FROM orders
+            WHERE o_orderdate BETWEEN lower_at AND upper_at) AS gross_amount,
+          CAST((SELECT count(*) FROM months_v WHERE m BETWEEN date_trunc('month', lower_at) AND upper_at) AS INTEGER)
+            AS folders_read,
+          CAST((SELECT count(*) FROM months_v) AS INTEGER) AS folders
+        FROM bounds_v""",
     "source_update_order": "SELECT event_id, ts, user_id FROM events ORDER BY ts, event_id",
     "page_nodes": """
         SELECT event_id, CAST(j AS INTEGER) AS position, CASE WHEN event_id % 53 <> 9 OR j <> 1
