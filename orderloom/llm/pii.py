@@ -1,10 +1,15 @@
 """Personal data by a semi-Markov conditional random field.
 
-Whole candidate spans are scored by features of the span and of the text before it; dynamic
-programming over spans of bounded length finds the best set of spans that do not overlap, with
-their kinds. Spans of the base rules always stay; the field adds spans that the rules miss. It is
-trained here, on a bounded sample of the texts: base matches and labelled secrets are the right
-spans, and all other candidates of the same texts are not.
+Every run of digits or of token characters offers spans between its borders, several starts and
+ends a run, and so does what follows a name such as ``password:``. Whole spans are scored by
+features of the span, of its borders and of the text before it; dynamic programming over spans of
+bounded length finds the best set of spans that do not overlap, choosing borders and kinds
+together. Spans of the base rules always stay; the field adds others beside them.
+
+It is trained here, on a bounded sample of the texts. Right spans are base matches, values after a
+name and tokens of a known shape; all other spans of the same texts are wrong. The evidence that
+made a span right is withheld from its features: a named value teaches the shape of secrets, a
+token of known shape teaches how secrets are named, a phone number is shown without its plus sign.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import sha256
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -24,17 +30,16 @@ from pyspark.sql import functions as F
 from orderloom.llm.work import Positions
 
 BASE = ("email", "ip", "card", "phone")
-#: Kinds that only the field finds.
-ADDED = ("secret",)
-KINDS = (*BASE, *ADDED)
+KINDS = (*BASE, "secret")
 
 #: Texts with candidates that the field is trained on, about.
 TRAINING_TEXTS = 400
-EPOCHS = 30
+EPOCHS = 120
 #: What a span that the field adds must score above leaving it out.
 MARGIN = 2.0
-#: Code points of a span at most that the field considers.
-LONGEST = 120
+#: Code points of a span at most that the field considers, and pieces of a token.
+LONGEST = 400
+MOST_PIECES = 6
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -43,14 +48,21 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
 
-#: Runs that may be something personal: digits with joints, or long mixed tokens.
-NUMBER = re.compile(r"(?<![\w+])\(?\+?[0-9](?:[\x20().-]{0,2}[0-9]){5,30}(?!\w)")
-MIXED = re.compile(r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{12,118}={0,2}(?![A-Za-z0-9_/+-])")
-#: Words before a span that name a secret, and the shape of one: what the training labels.
-NAMED = re.compile(
-    r"(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth)\W{0,4}$", re.I
-)
-ACCESS_KEY = re.compile(r"A[KS]IA[0-9A-Z]{16}")
+#: Runs that may be something personal: digits with joints, and tokens.
+NUMBER = re.compile(r"(?<![\w+.])[(+]{0,2}[0-9](?:[\x20().-]{0,2}[0-9])+(?!\w)")
+GROUP = re.compile(r"[0-9]+")
+FEWEST_DIGITS, MOST_DIGITS = 9, 19
+TOKEN = re.compile(r"[A-Za-z0-9_/+=.-]{12,}")
+PIECE = re.compile(r"[A-Za-z0-9]+={0,2}")
+SHORTEST = 12
+#: A long token without digits may be a secret if small and capital letters mix in it.
+MIXED_CASE = re.compile(r"[a-z][A-Z].*[a-z][A-Z]")
+#: Names of secrets, and the values that follow them.
+NAMES = r"(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|auth)"
+NAMED = re.compile(NAMES + r"\W{0,4}$", re.I)
+VALUE = re.compile(NAMES + r"[\"']?\x20?[:=]\x20?[\"']?([^\s\"',;<>]{4,400})", re.I)
+#: Shapes of secrets that issuers document.
+KNOWN_SHAPE = re.compile(r"A[KS]IA[0-9A-Z]{16}|[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}")
 BEFORE = 24
 
 Span = tuple[str, int, int]
@@ -92,16 +104,58 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def number_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans between digit groups of a run; so few digits each that a run offers few a group."""
+    for run in NUMBER.finditer(text):
+        groups = [m.span() for m in GROUP.finditer(text, *run.span())]
+        for first, (start, _) in enumerate(groups):
+            opens = run.start() if first == 0 else start
+            digits = 0
+            for left, right in groups[first:]:
+                digits += right - left
+                if digits > MOST_DIGITS:
+                    break
+                if digits >= FEWEST_DIGITS:
+                    yield opens, right
+
+
+def token_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans between the joints of a token that may be a secret, and values after a name."""
+    for run in TOKEN.finditer(text):
+        if not (DIGITS.search(run[0]) or MIXED_CASE.search(run[0])):
+            continue
+        pieces = [m.span() for m in PIECE.finditer(text, *run.span())]
+        for first, (start, _) in enumerate(pieces):
+            for _, end in pieces[first : first + MOST_PIECES]:
+                if end - start >= SHORTEST:
+                    part = text[start:end]
+                    if DIGITS.search(part) or MIXED_CASE.search(part):
+                        yield start, end
+    for value in VALUE.finditer(text):
+        yield value.span(1)
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Spans that the field may choose, by start: at most ``LONGEST`` code points each."""
-    found = {m.span() for m in MIXED.finditer(text) if DIGITS.search(m[0])}
-    if DIGITS.search(text):
-        found |= {m.span() for m in NUMBER.finditer(text)}
+    """Spans that the field may choose, by start: at most ``LONGEST`` code points each, and a
+    bounded number from each start."""
+    found = {*number_spans(text), *token_spans(text)}
     return sorted(s for s in found if s[1] - s[0] <= LONGEST)
 
 
+def border(text: str, at: int) -> str:
+    """What stands at a place outside of a span."""
+    c = text[at : at + 1] if at >= 0 else ""
+    return "word" if c.isalnum() else "blank" if not c or c.isspace() else "quote" if c in "\"'" else (
+        "sign" if c in "=:,;" else "joint"
+    )
+
+
+#: Features that tell the shape of a span.
+SHAPE = ("length", "digits", "classes", "signs", "hex", "parts", "groups", "total", "distinct")
+
+
 def span_features(text: str, start: int, end: int) -> list[str]:
-    """Features of a whole span and of what stands before it."""
+    """Features of a whole span, of its borders and of what stands before it."""
     span = text[start:end]
     before = text[max(0, start - BEFORE) : start]
     digits = sum(c.isdigit() for c in span)
@@ -111,34 +165,84 @@ def span_features(text: str, start: int, end: int) -> list[str]:
         digits > 0,
         any(not c.isalnum() for c in span),
     )
-    plain = "".join(c for c in span if c.isdigit())
+    classes = "".join("lud."[i] for i in range(4) if kinds[i])
+    groups = [len(g) for g in GROUP.findall(span)] if classes in ("d", "d.") else []
+    signs = "".join(sorted({c for c in span if not c.isalnum()})[:4])
     return [
-        "always",
+        f"number {classes in ('d', 'd.')}",
+        f"signs {'@' if '@' in signs else signs}",
+        f"total {digits if groups else 0}",
         f"length {min(len(span), 60) // 5}",
         f"digits {10 * digits // len(span)}",
-        "classes " + "".join("lud."[i] for i in range(4) if kinds[i]),
+        f"classes {classes}",
         f"hex {bool(re.fullmatch('[0-9a-f]+', span)) and len(span) >= 16}",
         f"parts {min(5, len(re.findall('[A-Za-z0-9]+', span)))}",
+        f"groups {'-'.join(map(str, groups[-3:]))}",
+        f"distinct {10 * len(set(span)) // len(span)}",
         f"named {bool(NAMED.search(before))}",
-        f"access key {bool(ACCESS_KEY.fullmatch(span))}",
-        f"plus {span.startswith('+')}",
-        f"luhn {13 <= len(plain) <= 19 and len(plain) == digits and luhn(plain)}",
-        f"after {before[-1:] if before[-1:] in '=:\"(' else 'other'}",
+        f"left {border(text, start - 1)}",
+        f"right {border(text, end)}",
     ]
 
 
+def labelled(text: str, start: int, end: int) -> tuple[str | None, tuple[str, ...]]:
+    """Whether a span is a secret that training knows, and the features that must not tell so."""
+    whole = border(text, start - 1) not in ("word", "joint") and border(text, end) not in ("word", "joint")
+    named = whole and NAMED.search(text[max(0, start - BEFORE) : start])
+    shaped = whole and KNOWN_SHAPE.fullmatch(text, start, end)
+    if not (named or shaped):
+        return None, ()
+    # Where both tell, each of them is withheld from half of the spans.
+    by_name = not shaped or named and crc32(text[start:end].encode()) % 2
+    return "secret", ("named",) if by_name else SHAPE
+
+
+#: What makes a phone number international.
+PREFIX = re.compile(r"\+[0-9]{1,3}[\x20.-]?(?=[(0-9])")
+
+
+def national(text: str) -> tuple[str, list[tuple[int, int]]]:
+    """The text with its phone numbers written without country codes, and where they are then."""
+    out, spans, at, shift = [], [], 0, 0
+    for kind, start, end in base_spans(text):
+        prefix = PREFIX.match(text, start, end) if kind == "phone" else None
+        if prefix and len(DIGITS.findall(text, prefix.end(), end)) >= FEWEST_DIGITS:
+            out.append(text[at:start])
+            at = prefix.end()
+            shift += at - start
+            spans.append((at - shift, end - shift))
+    return "".join([*out, text[at:]]), spans
+
+
 def lattice(text: str) -> tuple[list[tuple[int, int]], list[list[str]], list[str | None]]:
-    """Candidates of a text with their features and, for training, their kinds."""
-    base = {(s, e): kind for kind, s, e in base_spans(text)}
+    """Spans of a text with their features and kinds, to learn from: base matches and secrets, and
+    phone numbers as they look without what the base rule knows them by."""
+    text, phones = national(text)
+    base = {(s, e): kind for kind, s, e in base_spans(text)} | dict.fromkeys(phones, "phone")
     spans = sorted({*candidates(text), *(s for s in base if s[1] - s[0] <= LONGEST)})
+    features: list[list[str]] = []
     kinds: list[str | None] = []
     for start, end in spans:
-        secret = NAMED.search(text[max(0, start - BEFORE) : start]) or ACCESS_KEY.fullmatch(
-            text, start, end
-        )
-        mixed = MIXED.fullmatch(text, start, end) is not None
-        kinds.append(base.get((start, end)) or ("secret" if secret and mixed else None))
-    return spans, [span_features(text, s, e) for s, e in spans], kinds
+        kind, withheld = base.get((start, end)), ()
+        if kind is None:
+            kind, withheld = labelled(text, start, end)
+        kinds.append(kind)
+        own = span_features(text, start, end)
+        features.append([f for f in own if f.split()[0] not in withheld])
+    return spans, features, kinds
+
+
+def possible(text: str, start: int, end: int) -> list[bool]:
+    """Which kinds a span can be of at all, whatever the weights say."""
+    span = text[start:end]
+    digits, letters = len(DIGITS.findall(span)), any(c.isalpha() for c in span)
+    return [
+        "@" in span,
+        not letters and span.count(".") == 3 and len(GROUP.findall(span)) == 4,
+        not letters and 13 <= digits <= 19 and luhn("".join(DIGITS.findall(span))),
+        not letters and FEWEST_DIGITS <= digits <= 15,
+        letters or digits < FEWEST_DIGITS,
+    ]
 
 
 def best_spans(spans: list[tuple[int, int]], scores: np.ndarray) -> list[tuple[int, int]]:
@@ -271,7 +375,8 @@ def find(text: str | None, field: Field) -> tuple[list[Span], list[Span]]:
     added = []
     if spans:
         scores = field.scores([span_features(text, s, e) for s, e in spans]) - MARGIN
-        added = [(KINDS[k], *spans[i]) for i, k in best_spans(spans, scores) if KINDS[k] in ADDED]
+        scores[~np.array([possible(text, s, e) for s, e in spans])] = -np.inf
+        added = [(KINDS[k], *spans[i]) for i, k in best_spans(spans, scores)]
     return base, sorted(base + added, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
@@ -280,11 +385,13 @@ def written(spans: list[Span]) -> str:
 
 
 def detect(docs: DataFrame, field: Field) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, n_secret, base_sha256, spans) of every row of
+    """(doc_id, n_email, n_ip, n_card, n_phone, n_added, base_sha256, spans) of every row of
     ``docs(doc_id, text)``.
 
-    Spans are kind:start:end in code points, end exclusive, by kind and start. A null text is an
-    empty one: counts 0, no spans. Repeated rows are judged alike; an empty table gives no rows.
+    Spans are kind:start:end in code points, end exclusive, by kind and start; the counts of kinds
+    are those of the base rules, ``n_added`` counts what the field adds. A null text is an empty
+    one: counts 0, no spans. Texts of any length are scanned whole, in time that grows with their
+    length. Repeated rows are judged alike; an empty table gives no rows.
     """
     rows = Positions(docs).pick("doc_id", "text")
 
@@ -293,18 +400,19 @@ def detect(docs: DataFrame, field: Field) -> DataFrame:
             out = []
             for text in batch.column(1):
                 base, spans = find(text.as_py(), field)
-                seen = Counter(kind for kind, *_ in spans)
+                seen = Counter(kind for kind, *_ in base)
                 digest = sha256(written(base).encode()).hexdigest()
-                out.append((*[seen[k] for k in KINDS], digest, written(spans)))
-            columns = list(zip(*out, strict=True)) or [()] * (len(KINDS) + 2)
-            kinds = [pa.int64()] * len(KINDS) + [pa.string()] * 2
+                counts = (*[seen[k] for k in BASE], len(spans) - len(base))
+                out.append((*counts, digest, written(spans)))
+            columns = list(zip(*out, strict=True)) or [()] * len(names)
+            kinds = [pa.int64()] * (len(BASE) + 1) + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
                 names=["doc_id", *names],
             )
 
-    names = [*[f"n_{k}" for k in KINDS], "base_sha256", "spans"]
-    counts = ", ".join(f"n_{k} long" for k in KINDS)
+    names = [*[f"n_{k}" for k in BASE], "n_added", "base_sha256", "spans"]
+    counts = ", ".join(f"{name} long" for name in names[:-2])
     doc_type = rows.schema[0].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {doc_type}, {counts}, base_sha256 string, spans string")
 

@@ -506,6 +506,48 @@ def test_detection_keeps_base_spans_and_adds_secrets(spark, make_documents):
     assert pii.find("a1" * 10, pii.fit(docs.limit(0)))[1] == []
 
 
+@pytest.fixture(scope="module")
+def learned(spark):
+    return pii.fit(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+
+@pytest.mark.parametrize(
+    ("text", "added"),
+    [
+        ("call (017) 555-7713 or write", ["phone (017) 555-7713"]),
+        ("call 017 555 7713 today", ["phone 017 555 7713"]),
+        ("his password: hunter2 was seen", ["secret hunter2"]),
+        ("api_key=correcthorsebatterystaple\n", ["secret correcthorsebatterystaple"]),
+        ('token = "' + "5e1fA9" * 40 + '" in the log', ["secret " + "5e1fA9" * 40]),
+        ("on 2024-05-17 12:30 it was 3.141592653 or 1234567890123 in all", []),
+        ("see https://example.com/path/to/some-page-2024.html and internationalisation", []),
+        ("id 550e8400-e29b-41d4-a716-446655440000 of chapter 12, 13, 14, 15, 16, 17 and 18", []),
+        ("call +1 (017) 555-7713 or a@b.org", []),
+    ],
+)
+def test_the_field_chooses_borders_and_kinds(learned, text, added):
+    base, spans = pii.find(text, learned)
+    assert base == pii.base_spans(text)
+    assert [f"{kind} {text[s:e]}" for kind, s, e in spans if (kind, s, e) not in base] == added
+
+
+def test_runs_offer_several_borders_a_bounded_number_from_each_start():
+    assert pii.candidates("(0172) 555-77134-5678 x") == [(0, 16), (0, 21), (7, 21), (11, 21)]
+    found = [t[s:e] for t in ["xy/AKIAABCDEFGHIJ12/ab"] for s, e in pii.candidates(t)]
+    assert "AKIAABCDEFGHIJ12" in found and "xy/AKIAABCDEFGHIJ12" in found
+    long = "12 34 56 78 " * 5_000 + "ab1/" * 5_000
+    assert len(pii.candidates(long)) < 12 * 30_000
+
+
+def test_training_hides_what_the_labels_were_made_of(documents):
+    text = 'token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" and +1 (017) 555-7713 end'
+    spans, features, kinds = pii.lattice(text)
+    told = {kind: {f.split()[0] for f in own} for kind, own in zip(kinds, features, strict=True) if kind}
+    assert set(told) == {"secret", "phone"}
+    assert ("named" in told["secret"]) != ("hex" in told["secret"])
+    assert pii.national(text)[0].endswith("and (017) 555-7713 end")
+
+
 def test_candidates_apart_from_base_spans():
     random.seed(5)
     for _ in range(500):
