@@ -25,6 +25,8 @@ from orderloom.llm import (
     word_tokens,
 )
 
+from .conftest import SMALLEST
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 #: Nulls, blanks, repeated rows and a long text.
@@ -581,3 +583,20 @@ def test_field_probabilities_match_enumeration():
         best = max(best, (score, chosen), key=lambda x: x[0])
     assert np.allclose(pii.gradient(spans, scores), seen / total)
     assert sorted(pii.best_spans(spans, scores)) == best[1]
+
+
+def test_pipeline_stages_take_odd_rows_and_empty_tables(spark, make_documents):
+    import corpus_pipeline
+    from orderloom.llm.work import stage
+
+    text = " ".join(f"own{i}" for i in range(40))
+    rows = [*ODD, (9, text, "a"), (9, text, "a"), (10, text + " more", None), (None, f"{text} x y z", "b")]
+    for docs in (make_documents(rows), make_documents(rows).limit(0)):
+        columns, current = docs.columns, docs
+        for _, function in corpus_pipeline.STAGES[:-1]:
+            current = stage(function(spark, current, SMALLEST), "odd-stage")
+            assert current.columns == columns
+        packed = corpus_pipeline.STAGES[-1][1](spark, current, SMALLEST)
+        assert packed.filter("start = 0").count() == current.count()
+    kept = corpus_pipeline.quality(spark, make_documents(rows), SMALLEST)
+    assert sorted(repr(r.doc_id) for r in kept.collect()) == ["10", "9", "9", "None", "None"]
