@@ -17,32 +17,63 @@ _LONG_WHOLE = r"(?<![\w.+-])-?[1-9][0-9]{300,4299}(?![\w.])"
 _LONG_MANTISSA = r"(?<![\w.+-])-?[1-9][0-9]{300,}+(?:\.[0-9]++(?:[eE]\+?[0-9]++)?|[eE]\+?[0-9]++)(?![\w.-])"
 _LONG_FRACTION = r"(\.[0-9]{100})[0-9]++"
 _LONG_EXPONENT = r"([0-9][eE][+-]?)0*+([0-9]{4})[0-9]++"
-_ODD_LITERAL = r"NaN|Infinity|[0-9]{301}|[eE][+-]?[0-9]{5}"
+_LONG_POWER = r"[eE][+-]?[0-9]{5}"
 #: Stand for an escaped backslash and an escaped quote; raw control characters are not JSON.
 _BACKSLASH, _QUOTE = "\x01", "\x02"
 
 
+def _names_no_number(raw: Column) -> Column:
+    return raw.contains("NaN") | raw.contains("Infinity")
+
+
+def _if_any(test, value: Column, *replacements: tuple[str, str]) -> Column:
+    """The text with some patterns replaced; a cheap test spares most texts the search for them."""
+
+    def replaced(text):
+        found = text
+        for pattern, by in replacements:
+            found = F.regexp_replace(found, pattern, by)
+        return F.when(test(text), found).otherwise(text)
+
+    return let(value, replaced)
+
+
 def with_plain_literals(raw: Column) -> Column:
     """The line with the numbers that the parser refuses replaced, outside of strings.
 
     ``NaN``, ``Infinity`` and numbers of very many digits become numbers it takes: out of range
     where they were, else cut to more digits than matter. Strings keep every character: with
     escapes out of the way, the quotes part the line into what is outside (the first piece and
-    every second one) and inside of strings. Null for a line with the characters that stand for
+    every second one) and inside of strings. What is outside is searched at once, with a quote where
+    a string stood, which no pattern matches. Null for a line with the characters that stand for
     escapes meanwhile.
     """
     plain = F.replace(raw, F.lit("\\\\"), F.lit(_BACKSLASH))
     plain = F.replace(plain, F.lit('\\"'), F.lit(_QUOTE))
 
-    def outside(piece):
-        for pattern in (_NOT_FINITE, _LONG_WHOLE, _LONG_MANTISSA):
-            piece = F.regexp_replace(piece, pattern, _OUT_OF_RANGE)
-        piece = F.regexp_replace(piece, _LONG_FRACTION, "$1")
-        return F.regexp_replace(piece, _LONG_EXPONENT, "$1$2")
+    def outside(pieces):
+        found = F.array_join(F.filter(pieces, lambda _, i: i % 2 == 0), '"')
+        found = _if_any(_names_no_number, found, (_NOT_FINITE, _OUT_OF_RANGE))
+        found = _if_any(
+            lambda x: x.rlike("[0-9]{101}"),
+            found,
+            (_LONG_WHOLE, _OUT_OF_RANGE),
+            (_LONG_MANTISSA, _OUT_OF_RANGE),
+            (_LONG_FRACTION, "$1"),
+        )
+        found = _if_any(lambda x: x.rlike(_LONG_POWER), found, (_LONG_EXPONENT, "$1$2"))
+        return F.split(found, '"')
+
+    def replaced(pieces):
+        return let(
+            outside(pieces),
+            lambda found: F.transform(
+                pieces,
+                lambda piece, i: F.when(i % 2 == 0, F.get(found, (i / 2).cast("int"))).otherwise(piece),
+            ),
+        )
 
-    pieces = F.transform(
-        F.split(plain, '"'), lambda piece, i: F.when(i % 2 == 0, outside(piece)).otherwise(piece)
-    )
+    pieces = let(F.split(plain, '"'), replaced)
     joined = F.replace(F.array_join(pieces, '"'), F.lit(_QUOTE), F.lit('\\"'))
     joined = F.replace(joined, F.lit(_BACKSLASH), F.lit("\\\\"))
     return F.when(~raw.rlike(f"[{_BACKSLASH}{_QUOTE}]"), joined)
@@ -61,7 +92,8 @@ def parse_line(raw: Column) -> Column:
     def parsed(text):
         return F.try_parse_json(F.concat(F.lit("["), text, check))
 
-    again = F.when(raw.rlike(_ODD_LITERAL), let(with_plain_literals(raw), parsed))
+    odd = _names_no_number(raw) | raw.rlike("[0-9]{301}") | raw.rlike(_LONG_POWER)
+    again = F.when(odd, let(with_plain_literals(raw), parsed))
     return F.coalesce(parsed(raw), again)
 
 

@@ -9,6 +9,7 @@ import pytest
 from conftest import DROP, ORDER, money
 from pyspark.sql import functions as F
 
+from orderloom.functions import json_values
 from orderloom.operators import contract
 
 LINE = {
@@ -209,3 +210,26 @@ def test_long_orders_stay_linear(spark):
     frame = spark.createDataFrame([(json.dumps(o),) for o in (good, bad)], "raw string")
     errors = [row["error"] for row in contract.judge(frame).select("error").collect()]
     assert errors == [None, "line IDs must be unique strings"]
+
+
+def test_odd_literals_are_searched_once_a_line(spark):
+    """All that stands outside of strings is searched together; texts and empty pieces stay."""
+    nines = "9" * 400
+    lines = {
+        '{"a":NaN,"b":"NaN","c":[-Infinity,"",Infinity]}': '{"a":1e300,"b":"NaN","c":[1e300,"",1e300]}',
+        f'{{"a":{nines},"b":"{nines}","c":{nines}.5}}': f'{{"a":1e300,"b":"{nines}","c":1e300}}',
+        f'{{"NaN \\" -Infinity":0.{nines}1e00000000012345,"":"\\\\"}}': (
+            f'{{"NaN \\" -Infinity":0.{nines[:100]}e1234,"":"\\\\"}}'
+        ),
+        '"NaN"': '"NaN"',
+        "NaN": "1e300",
+        "xNaN": "xNaN",
+        "": "",
+        "a\x01NaN": None,
+    }
+    frame = spark.createDataFrame([(x,) for x in lines], "raw string")
+    plain = json_values.with_plain_literals(F.col("raw"))
+    assert {r.raw: r.plain for r in frame.select("raw", plain.alias("plain")).collect()} == lines
+    # Not one search for each piece between two quotes.
+    tree = frame.select(plain)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_join(filter(" in tree
