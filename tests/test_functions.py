@@ -1,5 +1,7 @@
 """Field rules against the Python standard library."""
 
+import hashlib
+import re
 from datetime import UTC, datetime
 from decimal import ROUND_HALF_EVEN, Decimal, InvalidOperation
 
@@ -8,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from orderloom.functions import json_values, money, text, timestamps
+from orderloom.functions import hashing, json_values, money, text, timestamps
 
 AMOUNTS = [
     "20.00", "20", " 10 ", "　10\t", "1e3", "1_000", "NaN", "Infinity", "-1", "-0", "-0.001",
@@ -117,3 +119,30 @@ def test_identifiers(spark):
     frame = spark.createDataFrame([(v,) for v in values], "v string")
     for value, valid in frame.select("v", text.is_identifier(F.col("v"))).collect():
         assert valid == values[value]
+
+
+def brute_fingerprint(texts):
+    combined = 0
+    for text_of_row in texts:
+        combined ^= int(hashlib.sha256(text_of_row.encode()).hexdigest(), 16)
+    digits = f"{combined:064x}"
+    return ":".join([str(len(texts)), *[str(int(digits[i : i + 15], 16)) for i in (0, 15, 30, 45)]])
+
+
+def test_fingerprints_read_no_row_as_a_number(spark):
+    rows = spark.range(40).selectExpr("id % 9 as g", "if(id % 7 = 0, null, concat('row ', id)) as row")
+    found = rows.groupBy("g").agg(hashing.fingerprint(F.col("row")).alias("f"))
+    for group, value in found.collect():
+        assert value == brute_fingerprint([f"row {i}" for i in range(40) if i % 9 == group and i % 7])
+    empty = rows.filter("g < 0").agg(hashing.fingerprint(F.col("row"))).first()[0]
+    assert empty == "0:0:0:0:0"
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"bit_xor\(crc32", plan) and not re.search(r"bit_xor\(cast\(conv", plan)
+
+
+def test_rows_are_told_apart_without_escaping_them(spark):
+    rows = [("a", "b"), ("a1:b", ""), ("", "a1:b"), (None, "-"), ("-", None), ("", None), (None, None), ("é", '"'), ("\"", "é")]
+    frame = spark.createDataFrame(rows, "x string, y string")
+    assert frame.select(hashing.whole_row(frame)).distinct().count() == len(rows)
+    plan = frame.select(hashing.whole_row(frame))._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan
