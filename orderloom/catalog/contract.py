@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 from pyspark.sql import functions as F
 
 from orderloom.catalog import views
@@ -136,6 +138,13 @@ def contract_messages(spark, folder):
     return contract.judge(documents).select("line_number", "error", "order_id")
 
 
+def _filled(pattern, *values):
+    """The text with each ``%s`` replaced by a value, as ``format_string`` does, in generated code."""
+    texts = [F.coalesce(value.cast("string"), F.lit("null")) for value in values]
+    fixed = map(F.lit, pattern.split("%s"))
+    return F.concat(next(fixed), *chain.from_iterable(zip(texts, fixed, strict=True)))
+
+
 def _documents(spark, folder):
     """Raw documents of orders with their own lines, parts by name, and literals in ``extra``.
 
@@ -145,11 +154,11 @@ def _documents(spark, folder):
     key, price = F.col("o_orderkey"), '{"gross":{"amount":%s,"currency":"USD"}}'
     amount = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
     each = (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(18,2)").cast("string")
-    sku = F.when(F.col("l_partkey") % 50 == 0, "null").otherwise(F.format_string('"P%d"', "l_partkey"))
-    line = F.format_string(
-        '{"id":"%d","productName":"%s","productSku":%s,"quantity":%d,"unitPrice":'
+    sku = F.when(F.col("l_partkey") % 50 == 0, "null").otherwise(_filled('"P%s"', F.col("l_partkey")))
+    line = _filled(
+        '{"id":"%s","productName":"%s","productSku":%s,"quantity":%s,"unitPrice":'
         + price + ',"totalPrice":' + price + "}",
-        "l_linenumber", "p_name", sku, F.col("l_quantity").cast("int"), each, amount,
+        F.col("l_linenumber"), F.col("p_name"), sku, F.col("l_quantity").cast("int"), each, amount,
     )
     parts = star.table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     lines = (
@@ -163,11 +172,11 @@ def _documents(spark, folder):
     )
     total = F.when(key % 17 == 5, "NaN").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
     at = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    document = F.format_string(
-        '{"id":"%d","number":"#%d","created":"%s","updatedAt":"%s","status":"%s","channel":{"slug":"%s",'
+    document = _filled(
+        '{"id":"%s","number":"#%s","created":"%s","updatedAt":"%s","status":"%s","channel":{"slug":"%s",'
         '"currencyCode":"usd"},"total":{"gross":{"amount":%s,"currency":"%s"}},"lines":[%s],"extra":%s}',
         key, key, at, at,
-        F.when(key % 13 == 4, "shipped").otherwise("FULFILLED"), "o_orderpriority",
+        F.when(key % 13 == 4, "shipped").otherwise("FULFILLED"), F.col("o_orderpriority"),
         total, F.when(key % 11 == 3, "EUR").otherwise("USD"),
         F.coalesce("lines", F.lit("")), F.get(literals, (key % 6).cast("int")),
     )

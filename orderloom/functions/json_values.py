@@ -114,9 +114,12 @@ def inside(value: Column, path: str) -> Column:
     return F.try_variant_get(value, path, "variant")
 
 
-def is_object(value: Column) -> Column:
-    """Whether the VARIANT is a JSON object; false when it is missing."""
-    return F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
+def is_object(value: Column, path: str = "$") -> Column:
+    """Whether the VARIANT, or the one at a path inside, is a JSON object; false when it is missing.
+
+    Only an object can be cast to a struct; what its fields hold is not read.
+    """
+    return F.try_variant_get(value, path, "struct<_ boolean>").isNotNull()
 
 
 def as_text(value: Column) -> Column:
@@ -179,11 +182,6 @@ def connection_items(lines: Column) -> Column:
     )
 
 
-def has_bad_item(lines: Column) -> Column:
-    """Whether some item of a connection is not an object."""
-    return F.exists(connection_items(lines), lambda item: ~is_object(item))
-
-
 def connection_lines(document: Column, path: str, line_type: str) -> Column:
     """Unwrapped items of a connection as ``line_type``; null when it is no connection.
 

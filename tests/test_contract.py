@@ -9,6 +9,7 @@ import pytest
 from conftest import DROP, ORDER, money
 from pyspark.sql import functions as F
 
+from orderloom.catalog import contract as queries
 from orderloom.functions import json_values
 from orderloom.operators import contract
 
@@ -233,3 +234,29 @@ def test_odd_literals_are_searched_once_a_line(spark):
     # Not one search for each piece between two quotes.
     tree = frame.select(plain)._jdf.queryExecution().optimizedPlan().toString()
     assert "array_join(filter(" in tree
+
+
+def test_a_value_that_messages_need_is_read_once(spark):
+    """Each mention of a path in the plan is one more walk into the document of a bad row."""
+    lines = spark.createDataFrame([("x",)], "raw string")
+    plan = contract.judge(lines)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("$[0].channel") == 1
+    assert plan.count("$[0].lines") <= 9
+
+
+def test_objects_are_told_from_other_values(spark):
+    texts = ["{}", '{"_":1}', '{"_":{"a":1}}', '{"_":null}', "[]", "[{}]", "1", "1.5", '"x"', "true", "null"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("v", F.try_parse_json("t"))
+    told = rows.select("t", json_values.is_object(F.col("v")).alias("whole")).collect()
+    assert [r["t"] for r in told if r["whole"]] == texts[:4]
+
+
+def test_filled_text_is_that_of_the_formatter(spark):
+    rows = spark.createDataFrame([(-1, "a %s\\", 2.5), (None, None, None)], "n bigint, t string, d double")
+    values = [F.col("n"), F.col("t"), F.col("d").cast("decimal(18,2)").cast("string")]
+    both = rows.select(
+        queries._filled('{%s,"%s",%s}', *values).alias("ours"),
+        F.format_string('{%d,"%s",%s}', *values).alias("theirs"),
+    )
+    assert all(row["ours"] == row["theirs"] for row in both.collect())
+    assert "format_string" not in queries._filled("%s", F.col("n"))._jc.toString()
